@@ -14,13 +14,17 @@ def gsub(col: Column, pattern: str, replacement: str) -> Column:
 
 
 def extract(col: Column, pattern: str, group: int = 1) -> Column:
-    """The captured group, or NULL where the pattern does not occur."""
-    return F.when(col.rlike(f"(?s){pattern}"), F.regexp_extract(col, f"(?s){pattern}", group))
+    """The captured group of the first match, or NULL where the pattern does not occur."""
+    return F.get(F.regexp_extract_all(col, F.lit(f"(?s){pattern}"), group), 0)
 
 
 def extract_or_self(col: Column, pattern: str, group: int = 1) -> Column:
-    """The captured group, or the text itself where the pattern does not occur."""
-    return F.coalesce(extract(col, pattern, group), col)
+    """The captured group of the first match, or the text itself where the pattern does not occur.
+
+    One replacement of the whole text, so the input expression is used once and
+    chains of these do not grow.
+    """
+    return F.regexp_replace(col, f"(?s)^.*?(?:{pattern}).*$", f"${group}")
 
 
 def if_changed(new: Column, old: Column) -> Column:

@@ -38,17 +38,21 @@ class NameRule:
     """How one source's catalogue rows and observed names meet.
 
     ``keys`` are pairs (catalogue key, observed key), strong to weak.
-    ``item_keys`` and ``name_keys`` state the key of single catalogue items or
-    observed names that the expressions do not reach.
+    ``item_keys`` and ``name_keys`` state the first key of single catalogue items
+    or observed names that the expressions do not reach. With ``direct`` the
+    catalogue key is the observed name itself, also where it was not seen.
+    ``fields`` are catalogue columns the observed name spells out. ``append`` adds
+    observed names nothing matched: their item is the 'key', the 'name', or an
+    expression.
     """
 
     keys: Sequence[tuple[Expression, Expression]] = ((_item, _name),)
     item_keys: Mapping[str, str | None] = field(default_factory=dict)
     name_keys: Mapping[str, str | None] = field(default_factory=dict)
-    direct: Expression | None = None
+    direct: bool = False
     observed_where: Expression | None = None
-    append: bool = False
-    appended_item: Expression | None = None
+    fields: Mapping[str, Expression] = field(default_factory=dict)
+    append: str | Expression | None = None
     constants: Mapping[str, str] = field(default_factory=dict)
 
 
@@ -86,11 +90,16 @@ def _key_columns(rules: Mapping[str, NameRule], side: int) -> list[tuple[str, Co
 
 
 def keyed_observed(observed: DataFrame, rules: Mapping[str, NameRule]) -> DataFrame:
-    """Observed names of the ruled sources with their keys; names a rule excludes are gone."""
+    """Observed names with keys and the fields they spell out; names a rule excludes are gone."""
     wanted = {label: rule.observed_where() for label, rule in rules.items() if rule.observed_where is not None}
     if wanted:
         observed = observed.where(F.coalesce(_per_label(wanted), F.lit(True)))
-    return observed.withColumns(dict(_key_columns(rules, 1)))
+    spelled = {}
+    for name in _unique([f for r in rules.values() for f in r.fields]):
+        value = _per_label({label: r.fields[name]() for label, r in rules.items() if name in r.fields})
+        spelled[name] = F.coalesce(value, col(name)) if name in observed.columns else value
+    # Keys first: they may read columns that a field replaces.
+    return observed.withColumns({**dict(_key_columns(rules, 1)), **spelled})
 
 
 def keyed_catalogue(catalogue: DataFrame, rules: Mapping[str, NameRule]) -> DataFrame:
@@ -102,39 +111,41 @@ def reconcile(
     catalogue: DataFrame,
     observed: DataFrame,
     rules: Mapping[str, NameRule],
-    patch: Sequence[str] = ("Oligo_ID", "Barcode_Sequence"),
+    patch: Sequence[str] = ("Oligo_ID", "Barcode_Sequence", "TotalSeq_Cat"),
+    carry: Sequence[str] = (),
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """The catalogue with a ``Data_Name`` per row, plus rows for observed names nothing matched.
 
-    ``observed`` has (Study, Data_Name) and may have the ``patch`` columns, which
-    fill NULLs of the matched rows. A NULL key matches nothing. Appended rows
-    carry their source's label and constants.
+    ``observed`` has (Study, Data_Name) and whatever columns the rules read. Its
+    ``patch`` columns fill NULLs of the matched rows; ``carry`` columns are added,
+    one row per combination. A NULL key matches nothing. Appended rows carry their
+    source's label and constants.
     """
-    carried = [p for p in patch if p in observed.columns]
-    names = keyed_observed(observed.select(LABEL, NAME, *carried).distinct(), rules)
+    keyed = keyed_observed(observed, rules)
+    patched = [p for p in patch if p in keyed.columns and p in catalogue.columns]
     key_names = [n for n, _ in _key_columns(rules, 1)]
-    side = names.withColumnsRenamed({p: f"__obs_{p}" for p in carried})
-    base = keyed_catalogue(c.drop(catalogue, [NAME], absent="ignore"), rules)
+    names = c.keep(keyed, [LABEL, NAME, *key_names, *patched, *carry]).distinct()
+    side = names.withColumnsRenamed({p: f"__obs_{p}" for p in patched})
+    base = keyed_catalogue(c.drop(catalogue, [NAME, *carry], absent="ignore"), rules)
     matched = match_cascade(base, side, [[LABEL, k] for k in key_names], NAME, append_rest=False, hot_rows=hot_rows)
-    matched = matched.withColumns({p: F.coalesce(col(p), col(f"__obs_{p}")) for p in carried})
-    direct = _per_label({label: r.direct() for label, r in rules.items() if r.direct is not None})
-    matched = matched.withColumn(NAME, F.coalesce(col(NAME), direct)).drop(*key_names, *[f"__obs_{p}" for p in carried])
-
-    append_labels = [label for label, r in rules.items() if r.append]
-    rest = anti_join(
-        names.where(col(LABEL).isin(append_labels)),
-        matched.where(col(NAME).isNotNull()).select(LABEL, NAME),
-        [LABEL, NAME], hot_rows=hot_rows,
-    )
-    item = F.coalesce(
-        _per_label({label: rules[label].appended_item() for label in append_labels if rules[label].appended_item is not None}),
-        col("__key1"), col(NAME),
-    )
-    constants = _unique([k for r in rules.values() for k in r.constants])
-    rest = rest.withColumn(ITEM, item).withColumns({
-        k: _per_label({label: F.lit(r.constants[k]) for label, r in rules.items() if k in r.constants}) for k in constants
-    })
+    matched = matched.withColumns({p: F.coalesce(col(p), col(f"__obs_{p}")) for p in patched})
+    direct = _per_label({label: col("__key1") for label, r in rules.items() if r.direct})
+    matched = matched.withColumn(NAME, F.coalesce(col(NAME), direct)).drop(*key_names, *[f"__obs_{p}" for p in patched])
+
+    appending = {label: r for label, r in rules.items() if r.append is not None}
+    if not appending:
+        return matched
+    used = matched.where(col(NAME).isNotNull()).select(LABEL, NAME, *carry)
+    rest = anti_join(names.where(col(LABEL).isin(list(appending))), used, [LABEL, NAME, *carry], hot_rows=hot_rows)
+    item = {"key": lambda: col("__key1"), "name": lambda: col(NAME)}
+    rest = rest.withColumn(ITEM, _per_label({label: item.get(r.append, r.append)() for label, r in appending.items()}))
+    constants = _unique([k for r in appending.values() for k in r.constants])
+    stated = {}
+    for k in constants:
+        value = _per_label({label: F.lit(r.constants[k]) for label, r in appending.items() if k in r.constants})
+        stated[k] = F.coalesce(value, col(k)) if k in rest.columns else value
+    rest = rest.withColumns(stated)
     types = dict(matched.dtypes)
     appended = rest.select(*[col(n).cast(types[n]).alias(n) for n in rest.columns if n in types])
     return union_sources([matched, appended])

@@ -49,6 +49,7 @@ class SourceSpec:
     source: str
     read: ReadOptions = ReadOptions()
     optional: bool = False
+    literal: tuple[str, Sequence[tuple]] | None = None
     lookup: Lookup | None = None
     rename: Mapping[str, str] = field(default_factory=dict)
     split: Sequence[Split] = ()

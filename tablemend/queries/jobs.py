@@ -90,11 +90,11 @@ def _two_renderings(t):
     )
     rules = {
         "upper": NameRule(
-            keys=[(lambda: F.lower("Antigen"), lambda: F.lower(F.replace("Data_Name", F.lit("_"), F.lit(" "))))], append=True
+            keys=[(lambda: F.lower("Antigen"), lambda: F.lower(F.replace("Data_Name", F.lit("_"), F.lit(" "))))], append="key"
         ),
         "dotted": NameRule(
             keys=[(lambda: F.col("Antigen"), lambda: F.replace(x.gsub(F.col("Data_Name"), r"\.1$", ""), F.lit("."), F.lit(" ")))],
-            append=True,
+            append="key",
         ),
     }
     return catalogue, reconcile(catalogue, observed, rules)

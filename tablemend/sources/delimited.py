@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from tablemend.functions.split import split_parts
+
 MALFORMED = "_malformed"
 
 
@@ -28,6 +30,7 @@ class ReadOptions:
     encoding: str = "UTF-8"
     trim: bool = False
     columns: tuple[str, ...] | None = None
+    rest_in_last: bool = False
 
 
 def _reader(spark: SparkSession, options: ReadOptions):
@@ -64,34 +67,36 @@ def repair_header(df: DataFrame, drop_blank: bool = True) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(cleaned[c]) for c in kept])
 
 
-def strip_line_ends(df: DataFrame) -> DataFrame:
-    """Remove the carriage return a CRLF file leaves at the end of the last value."""
-    return df.select(*[F.regexp_replace(F.col(f"`{c}`"), r"\r+$", "").alias(c) for c in df.columns])
-
-
 def read_delimited(spark: SparkSession, path: str | Sequence[str], options: ReadOptions = ReadOptions(), provenance: bool = False) -> DataFrame:
     """One delimited table, or several with the same header, as text columns.
 
     ``provenance`` adds ``_src`` (file name without folder and ending) and ``_ord``,
     which sorts rows as they stand in the files.
     """
-    reader = _reader(spark, options)
-    if options.columns is not None:
-        reader = reader.schema(StructType([StructField(c, StringType()) for c in options.columns]))
-    path = [path] if isinstance(path, str) else list(path)
-    df = reader.csv(path)
-    if options.multiline:
-        df_text = strip_line_ends(df)
+    paths = [path] if isinstance(path, str) else list(path)
+    if options.rest_in_last:
+        df = _read_lines(spark, paths, options)
     else:
-        df_text = df
-    if not provenance:
-        return repair_header(df_text)
-    place = df.select("*", *provenance_columns())
-    if options.multiline:
-        place = place.select(
-            *[F.regexp_replace(F.col(f"`{c}`"), r"\r+$", "").alias(c) for c in df.columns], "_src", "_ord"
-        )
-    return repair_header(place)
+        reader = _reader(spark, options)
+        if options.columns is not None:
+            reader = reader.schema(StructType([StructField(c, StringType()) for c in options.columns]))
+        df = reader.csv(paths)
+    names = df.columns
+    values = [F.regexp_replace(F.col(f"`{c}`"), r"\r+$", "").alias(c) if options.multiline else F.col(f"`{c}`") for c in names]
+    return repair_header(df.select(*values, *(provenance_columns() if provenance else [])))
+
+
+def _read_lines(spark: SparkSession, paths: Sequence[str], options: ReadOptions) -> DataFrame:
+    """Lines of unquoted text: separators beyond the last column belong to its value."""
+    if options.columns is None:
+        raise ValueError("text lines need declared columns")
+    lines = spark.read.text(list(paths)).withColumn("value", F.regexp_replace("value", r"\r+$", ""))
+    if options.header:
+        lines = lines.where(F.col("value") != options.sep.join(options.columns))
+    pieces = split_parts(F.col("value"), len(options.columns), re.escape(options.sep), extra="merge")
+    return lines.where(F.col("value") != "").select(
+        *[F.nullif(p, F.lit("NA")).alias(c) for c, p in zip(options.columns, pieces)]
+    )
 
 
 def provenance_columns() -> list[Column]:
