@@ -19,6 +19,7 @@ from tablemend.operators.aggregates import count_by, null_out_ambiguous
 from tablemend.operators.columns import col
 from tablemend.operators.joins import HOT_ROWS, anti_join, match_cascade
 from tablemend.operators.sets import one_sided, union_sources
+from tablemend.sources.tables import cut_lineage
 
 Expression = Callable[[], Column]
 
@@ -113,6 +114,7 @@ def reconcile(
     rules: Mapping[str, NameRule],
     patch: Sequence[str] = ("Oligo_ID", "Barcode_Sequence", "TotalSeq_Cat"),
     carry: Sequence[str] = (),
+    store_keys: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """The catalogue with a ``Data_Name`` per row, plus rows for observed names nothing matched.
@@ -120,14 +122,19 @@ def reconcile(
     ``observed`` has (Study, Data_Name) and whatever columns the rules read. Its
     ``patch`` columns fill NULLs of the matched rows; ``carry`` columns are added,
     one row per combination. A NULL key matches nothing. Appended rows carry their
-    source's label and constants.
+    source's label and constants. ``store_keys`` writes both keyed tables out
+    before they are matched: with many rules the keys are long expressions that
+    should be computed once and stay out of join filters.
     """
     keyed = keyed_observed(observed, rules)
     patched = [p for p in patch if p in keyed.columns and p in catalogue.columns]
     key_names = [n for n, _ in _key_columns(rules, 1)]
-    names = c.keep(keyed, [LABEL, NAME, *key_names, *patched, *carry]).distinct()
-    side = names.withColumnsRenamed({p: f"__obs_{p}" for p in patched})
+    names = c.keep(keyed, [LABEL, NAME, *key_names, *patched, *carry])
     base = keyed_catalogue(c.drop(catalogue, [NAME, *carry], absent="ignore"), rules)
+    if store_keys:
+        names, base = cut_lineage(names, "observed"), cut_lineage(base, "keyed")
+    names = names.distinct()
+    side = names.withColumnsRenamed({p: f"__obs_{p}" for p in patched})
     matched = match_cascade(base, side, [[LABEL, k] for k in key_names], NAME, append_rest=False, hot_rows=hot_rows)
     matched = matched.withColumns({p: F.coalesce(col(p), col(f"__obs_{p}")) for p in patched})
     direct = _per_label({label: col("__key1") for label, r in rules.items() if r.direct})

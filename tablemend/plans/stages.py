@@ -79,7 +79,7 @@ def reconcile_catalogue(
         one_name = matches(col("Antigen"), "^CD275") & (col("Study") == label)
         base = base.withColumn("Antigen", F.when(one_name, "CD275").otherwise(col("Antigen")))
         base = cut_lineage(merge_indistinct(base, label, hot_rows=hot_rows), "indistinct")
-    named = reconcile(base, with_needed(observed, OBSERVED_NEEDS), rules, carry=carry, hot_rows=hot_rows)
+    named = reconcile(base, with_needed(observed, OBSERVED_NEEDS), rules, carry=carry, store_keys=True, hot_rows=hot_rows)
     return c.relocate(c.add_row_id(named), ["Antigen", "Data_Name"])
 
 
