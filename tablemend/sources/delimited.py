@@ -144,19 +144,22 @@ def read_folder(
 
 
 def read_checked(spark: SparkSession, path: str, columns: Sequence[str], options: ReadOptions = ReadOptions()) -> tuple[DataFrame, DataFrame]:
-    """Rows that fit the declared columns, and the raw text of those that do not."""
-    schema = StructType([StructField(c, StringType()) for c in [*columns, MALFORMED]])
-    df = (
-        _reader(spark, options)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", MALFORMED)
-        .option("enforceSchema", True)
-        .schema(schema)
-        .csv(path)
-    )
-    good = df.where(F.col(MALFORMED).isNull()).select(*[F.col(f"`{c}`") for c in columns])
-    bad = df.where(F.col(MALFORMED).isNotNull()).select(F.col(MALFORMED).alias("raw"), F.lit(path).alias("path"))
-    return good, bad
+    """Rows that fit the declared columns, and the raw text of those that do not.
+
+    For files with one row per line; the header must have the declared names.
+    """
+    schema = ", ".join(f"`{c}` string" for c in [*columns, MALFORMED])
+    parse = {
+        "sep": options.sep, "quote": options.quote, "escape": options.quote, "nullValue": "NA",
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED,
+    }
+    lines = spark.read.text(path).select(F.regexp_replace("value", r"\r+$", "").alias("raw"), F.col("_metadata.file_path").alias("path"))
+    if options.header:
+        lines = lines.where(F.col("raw") != options.sep.join(columns))
+    parsed = lines.withColumn("row", F.from_csv("raw", schema, parse))
+    bad = F.col(f"row.{MALFORMED}").isNotNull()
+    good_rows = parsed.where(~bad).select(*[F.col(f"row.`{c}`").alias(c) for c in columns])
+    return good_rows, parsed.where(bad).select("raw", "path")
 
 
 def read_sheets(spark: SparkSession, folder: str, name_column: str, options: ReadOptions = ReadOptions(), prefix: str = "") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 from pathlib import Path
+from urllib.parse import urlparse
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +30,8 @@ def names_to_rows(df: DataFrame, keys: Sequence[str], array: str, name: str) ->
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "errorifexists") -> None:
     """Store a result at a path of its own; Spark cannot overwrite what the plan still reads."""
-    if mode == "overwrite" and any(f.startswith(path) or f.startswith(f"file:{path}") for f in df.inputFiles()):
+    target = urlparse(path).path.rstrip("/") + "/"
+    if mode == "overwrite" and any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
         raise ValueError(f"the result still reads {path}; write to another path")
     writer = df.write.format(fmt).mode(mode)
     if fmt == "csv":
