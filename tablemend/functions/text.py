@@ -80,11 +80,13 @@ GREEK = [
 ]
 
 
+GREEK_SYMBOLS = "".join(symbol for symbol, _, _ in GREEK) + "µ"
+GREEK_LETTERS = "".join(letter for _, _, letter in GREEK) + "m"
+
+
 def greek_symbols_to_letters(col: Column) -> Column:
     """α → a, β → b …; the micro sign counts as mu."""
-    symbols = "".join(symbol for symbol, _, _ in GREEK) + "µ"
-    letters = "".join(letter for _, _, letter in GREEK) + "m"
-    return F.translate(col, symbols, letters)
+    return F.translate(col, GREEK_SYMBOLS, GREEK_LETTERS)
 
 
 def greek_words_to_letters(col: Column) -> Column:
@@ -121,12 +123,19 @@ PLAIN_LETTERS = [("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ",
 
 
 def to_ascii(col: Column) -> Column:
-    """Latin letters without accents, Greek symbols as Latin letters."""
+    """Latin letters without accents, Greek symbols as Latin letters.
+
+    Plain texts are returned as they are, and only texts with letters that become
+    two go through the passes for those.
+    """
     chars, plain, longer = _folded_letters()
-    out = F.translate(greek_symbols_to_letters(col), chars, plain)
+    spelled = col
     for char, text in longer + PLAIN_LETTERS:
-        out = F.replace(out, F.lit(char), F.lit(text))
-    return out
+        spelled = F.replace(spelled, F.lit(char), F.lit(text))
+    rare = "".join(char for char, _ in longer + PLAIN_LETTERS)
+    spelled = F.when(col.rlike(f"[{rare}]"), spelled).otherwise(col)
+    folded = F.translate(spelled, GREEK_SYMBOLS + chars, GREEK_LETTERS + plain)
+    return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
 
 
 def match_key(col: Column) -> Column:

@@ -75,7 +75,7 @@ def conflict_report(df: DataFrame, rules: Sequence[tuple[Sequence[str], str]]) -
 def groups_where(df: DataFrame, keys: Sequence[str], condition: Column, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All rows of the groups for which an aggregate condition holds."""
     chosen = df.groupBy(*[col(k) for k in keys]).agg(condition.alias("__keep")).where("__keep").select(*[col(k) for k in keys])
-    return semi_join(df, chosen, list(keys), hot_rows=hot_rows)
+    return semi_join(df, chosen, list(keys), right_unique=True, hot_rows=hot_rows)
 
 
 def repeated_in_group(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:

@@ -10,11 +10,14 @@ Hot keys. ``hot_rows`` is the number of rows of one key that a single task may
 hold. Keys above it are found by a map-side combined count of the key columns
 and spread over ``BUCKETS`` sub-keys; the rows of the other side with that key
 are repeated once per sub-key. The result is the same with or without this, so
-the threshold only moves work.
+the threshold only moves work. Where the plan statistics say that a side is below
+Spark's own broadcast limit, Spark needs no shuffle on that account and the count
+is left out.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -28,6 +31,23 @@ BUCKETS = 64
 Key = str | tuple[str, str]
 
 
+def broadcast_limit(df: DataFrame) -> int:
+    """Spark's broadcast limit in bytes; negative if broadcasting is off."""
+    value = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB").lower()
+    number, unit = re.fullmatch(r"(-?\d+)\s*([kmgt]?)b?", value).groups()
+    return int(number) * 1024 ** " kmgt".index(unit or " ")
+
+
+def known_small(df: DataFrame) -> bool:
+    """Do the plan statistics put the table below the broadcast limit? They rest on file sizes."""
+    try:
+        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    except AttributeError:
+        # A client without a local plan cannot tell.
+        return False
+    return int(str(size)) <= broadcast_limit(df)
+
+
 def key_pairs(on: str | Sequence[Key]) -> list[tuple[str, str]]:
     """Normalise join keys to (left name, right name) pairs."""
     keys = [on] if isinstance(on, str) else list(on)
@@ -131,7 +151,7 @@ def _left_keyed(
     if nulls == "never":
         right = right.dropna(subset=right_keys)
     pairs = [(F.col(a), F.col(b)) for a, b in zip(keys, right_keys)]
-    if hot_rows is None:
+    if hot_rows is None or known_small(right) or (right_unique and known_small(left)):
         return left.join(right, _all_equal(pairs, nulls), "left").drop(*right_keys)
 
     counted = (left if counted is None else counted).select(*keys)
@@ -211,18 +231,19 @@ def left_join(
     return joined.select(*[col(c) for c in left.columns], *[col(c) for c in names.values()])
 
 
-def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small: bool, hot_rows: int | None) -> DataFrame:
+def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small: bool, hot_rows: int | None, right_unique: bool = False) -> DataFrame:
     pairs = key_pairs(on)
     keyed = _with_keys(left, [col(l) for l, _ in pairs])
     keys = _key_names(len(pairs))
-    side = right.select(*[col(r).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)]).distinct()
+    side = right.select(*[col(r).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)])
+    side = side if right_unique else side.distinct()
     right_keys = side.columns
     if nulls == "never":
         side = side.dropna()
     condition = _all_equal([(F.col(a), F.col(b)) for a, b in zip(keys, right_keys)], nulls)
     if small:
         side = F.broadcast(side)
-    elif hot_rows is not None:
+    elif hot_rows is not None and not known_small(side) and not known_small(keyed):
         hot = _hot_keys(keys, hot_rows, __lhot=keyed)
         keyed = _mark_hot(keyed, hot, keys, ["__lhot"])
         is_hot = F.col("__lhot") if nulls == "match" else F.col("__lhot") | _any_null(keys)
@@ -233,9 +254,11 @@ def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small:
     return keyed.join(side, condition, how).select(*[col(c) for c in left.columns])
 
 
-def semi_join(left, right, on, nulls: str = "match", small: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def semi_join(
+    left, right, on, nulls: str = "match", small: bool = False, right_unique: bool = False, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Left rows that have a partner; the right side is reduced to distinct keys first."""
-    return _exists(left, right, on, nulls, "left_semi", small, hot_rows)
+    return _exists(left, right, on, nulls, "left_semi", small, hot_rows, right_unique)
 
 
 def anti_join(left, right, on=None, nulls: str = "match", small: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:

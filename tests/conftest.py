@@ -33,3 +33,11 @@ def rows(df, *columns):
     """Rows as a sorted list of tuples, so that order does not matter."""
     picked = df.select(*columns) if columns else df
     return sorted((tuple(r) for r in picked.collect()), key=repr)
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    """Plans as for large tables: no side is small enough to broadcast."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield spark
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

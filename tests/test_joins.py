@@ -42,7 +42,7 @@ def frames(spark, left, right):
 @pytest.mark.parametrize("hot_rows", [None, 1])
 @SLOW
 @given(left=LEFT, right=RIGHT)
-def test_joins_equal_brute_force(spark, nulls, hot_rows, left, right):
+def test_joins_equal_brute_force(no_broadcast, spark, nulls, hot_rows, left, right):
     l, r = frames(spark, left, right)
     assert rows(j.left_join(l, r, "k", nulls, hot_rows=hot_rows)) == sorted(brute_left(left, right, nulls), key=repr)
     assert rows(j.full_join(l, r, "k", nulls, hot_rows=hot_rows)) == sorted(brute_full(left, right, nulls), key=repr)
@@ -56,7 +56,7 @@ def test_joins_equal_brute_force(spark, nulls, hot_rows, left, right):
 @pytest.mark.parametrize("hot_rows", [None, 1])
 @SLOW
 @given(left=LEFT, right=RIGHT)
-def test_join_any_takes_the_first_key_that_matches(spark, nulls, hot_rows, left, right):
+def test_join_any_takes_the_first_key_that_matches(no_broadcast, spark, nulls, hot_rows, left, right):
     want = []
     for k, m, v in left:
         first = [r for r in right if meet(k, r[0], nulls)]
@@ -72,7 +72,7 @@ def test_join_any_takes_the_first_key_that_matches(spark, nulls, hot_rows, left,
     assert rows(got) == sorted(want, key=repr)
 
 
-def test_hot_keys_on_both_sides(spark):
+def test_hot_keys_on_both_sides(no_broadcast, spark):
     l = spark.range(300).select(F.when(F.col("id") < 200, "hot").otherwise(F.col("id").cast("string")).alias("k"), "id")
     r = spark.range(60).select(F.when(F.col("id") < 20, "hot").otherwise((F.col("id") + 200).cast("string")).alias("k"), F.col("id").alias("w"))
     plain = rows(j.left_join(l, r, "k", hot_rows=None))
@@ -107,7 +107,7 @@ def test_natural_joins_need_a_shared_column(spark):
 
 
 @pytest.mark.parametrize("hot_rows", [None, 1])
-def test_cascade_appends_unused_names_once(spark, hot_rows):
+def test_cascade_appends_unused_names_once(no_broadcast, spark, hot_rows):
     x = spark.createDataFrame([("A", "1"), ("B", None), ("C", "9"), ("A", None)], "item string, code string")
     y = spark.createDataFrame([("A", "1", "n1"), ("B", "7", "n2"), ("Z", "8", "n3"), ("Z", None, "n3")], "item string, code string, name string")
     out = j.match_cascade(x, y, [["item", "code"], "item"], "name", pass_column="step", hot_rows=hot_rows)

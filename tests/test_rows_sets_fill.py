@@ -25,7 +25,7 @@ def table(spark, data):
 @pytest.mark.parametrize("hot_rows", [None, 1])
 @SLOW
 @given(data=TABLE, patch=st.dictionaries(KEY, VALUE, max_size=3))
-def test_update_and_patch(spark, hot_rows, data, patch):
+def test_update_and_patch(no_broadcast, spark, hot_rows, data, patch):
     x, y = table(spark, data), spark.createDataFrame(list(patch.items()), "k string, c string")
     updated = [(k, patch[k] if k in patch else c, i) for k, c, i in data]
     patched = [(k, c if c is not None else patch.get(k), i) for k, c, i in data]
@@ -62,7 +62,7 @@ def test_chained_corrections_see_earlier_results(spark):
 @pytest.mark.parametrize("hot_rows", [None, 1])
 @SLOW
 @given(data=TABLE)
-def test_fill_by_group(spark, hot_rows, data):
+def test_fill_by_group(no_broadcast, spark, hot_rows, data):
     def known(k):
         return {c for key, c, _ in data if key == k and c is not None}
 
