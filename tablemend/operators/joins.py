@@ -7,12 +7,14 @@ length is bounded by (rows / ``hot_rows``), and tables the caller declares
 left to Spark, which broadcasts by measured size and shuffles beyond it.
 
 Hot keys. ``hot_rows`` is the number of rows of one key that a single task may
-hold. Keys above it are found by a map-side combined count of the key columns
-and spread over ``BUCKETS`` sub-keys; the rows of the other side with that key
+hold. Keys above it are found by a map-side combined count of the key columns and
+cut into rows / ``hot_rows`` sub-keys; the rows of the other side with that key
 are repeated once per sub-key. The result is the same with or without this, so
-the threshold only moves work. Where the plan statistics say that a side is below
-Spark's own broadcast limit, Spark needs no shuffle on that account and the count
-is left out.
+the threshold only moves work. A row's sub-key is the number of the task that
+reads it: this spreads copies of one row too, needs no other column, and stays
+the same when a lost task runs again. Where the plan statistics say that a side
+is below Spark's own broadcast limit, Spark needs no shuffle on that account and
+the count is left out.
 """
 
 from __future__ import annotations
@@ -26,7 +28,6 @@ from pyspark.sql import functions as F
 from tablemend.operators.columns import col
 
 HOT_ROWS = 1_000_000
-BUCKETS = 64
 
 Key = str | tuple[str, str]
 
@@ -75,12 +76,6 @@ def _all_equal(pairs: Sequence[tuple[Column, Column]], nulls: str) -> Column:
     return condition
 
 
-def _row_bucket(df: DataFrame) -> Column:
-    """A sub-key that depends on the row's values only, so a re-run task repeats it."""
-    plain = [col(c) for c, t in df.dtypes if not t.startswith("map")]
-    return F.pmod(F.xxhash64(*plain), F.lit(BUCKETS)).cast("int")
-
-
 def _key_names(n: int) -> list[str]:
     return [f"__k{i}" for i in range(n)]
 
@@ -90,7 +85,7 @@ def _with_keys(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
 
 
 def _hot_keys(keys: Sequence[str], hot_rows: int, **sides: DataFrame) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows on a side, with one flag per side."""
+    """Keys with more than ``hot_rows`` rows on a side, with the number of sub-keys per side."""
     tagged = [
         df.select(*keys, *[F.lit(int(other == side)).alias(other) for other in sides])
         for side, df in sides.items()
@@ -101,15 +96,15 @@ def _hot_keys(keys: Sequence[str], hot_rows: int, **sides: DataFrame) -> DataFra
     is_hot = hot[0] if len(hot) == 1 else hot[0] | hot[1]
     return counts.where(is_hot).select(
         *[F.col(k).alias(f"{k}_hot") for k in keys],
-        *[flag.alias(side) for side, flag in zip(sides, hot)],
+        *[F.ceil(F.col(side) / hot_rows).cast("int").alias(side) for side in sides],
     )
 
 
-def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], flags: Sequence[str]) -> DataFrame:
-    """Look the row's key up in the short list of hot keys."""
+def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], sides: Sequence[str]) -> DataFrame:
+    """Look the number of sub-keys up in the short list of hot keys; 1 if the key is not hot."""
     condition = _all_equal([(F.col(k), F.col(f"{k}_hot")) for k in keys], "match")
     marked = df.join(F.broadcast(hot), condition, "left").drop(*[f"{k}_hot" for k in keys])
-    return marked.withColumns({f: F.coalesce(F.col(f), F.lit(False)) for f in flags})
+    return marked.withColumns({s: F.greatest(F.coalesce(F.col(s), F.lit(1)), F.lit(1)) for s in sides})
 
 
 def _any_null(keys: Sequence[str]) -> Column:
@@ -119,15 +114,16 @@ def _any_null(keys: Sequence[str]) -> Column:
     return out
 
 
-def _spread(df: DataFrame, hot: Column, sub_key: str) -> DataFrame:
-    """Give each row one sub-key: its own bucket if the key is hot, else 0."""
-    return df.withColumn(sub_key, F.when(hot, _row_bucket(df)).otherwise(F.lit(0)))
+def _spread(df: DataFrame, parts: Column, sub_key: str, unmatchable: Column | None = None) -> DataFrame:
+    """Give each row one of its key's sub-keys; rows that meet no partner need not stay together."""
+    task = F.spark_partition_id()
+    chosen = F.when(parts > 1, F.pmod(task, parts)).otherwise(F.lit(0))
+    return df.withColumn(sub_key, chosen if unmatchable is None else F.when(unmatchable, task).otherwise(chosen))
 
 
-def _repeat(df: DataFrame, hot: Column, sub_key: str) -> DataFrame:
-    """Repeat each row of a hot key once per sub-key."""
-    every = F.sequence(F.lit(0), F.lit(BUCKETS - 1))
-    return df.withColumn(sub_key, F.explode(F.when(hot, every).otherwise(F.array(F.lit(0)))))
+def _repeat(df: DataFrame, parts: Column, sub_key: str) -> DataFrame:
+    """Repeat each row once per sub-key of its key."""
+    return df.withColumn(sub_key, F.explode(F.sequence(F.lit(0), parts - 1)))
 
 
 def _left_keyed(
@@ -165,22 +161,22 @@ def _left_keyed(
     hot = _hot_keys(keys, hot_rows, **sides)
 
     left = _mark_hot(left, hot, keys, list(sides))
-    left_is_hot = F.col("__lhot") if unmatchable is None else F.col("__lhot") | F.coalesce(unmatchable, F.lit(False))
-    left = _spread(left, left_is_hot, "__ls")
+    left = _spread(left, F.col("__lhot"), "__ls", None if unmatchable is None else F.coalesce(unmatchable, F.lit(False)))
     right = right.withColumnsRenamed(dict(zip(right_keys, keys)))
     right = _mark_hot(right, hot, keys, list(sides))
     if not right_unique:
-        left = _repeat(left, F.col("__rhot"), "__lrs")
         right = _spread(right, F.col("__rhot"), "__rs").drop("__rhot")
-        pairs.append((F.col("__lrs"), F.col("__rs")))
+        left = _repeat(left, F.col("__rhot"), "__lrs")
     right = _repeat(right, F.col("__lhot"), "__rls").drop("__lhot")
-    pairs.append((F.col("__ls"), F.col("__rls")))
     right = right.withColumnsRenamed(dict(zip(keys, right_keys)))
 
-    joined = left.join(right, _all_equal(pairs, nulls), "left")
+    condition = _all_equal(pairs, nulls) & (F.col("__ls") == F.col("__rls"))
+    if not right_unique:
+        condition = condition & (F.col("__lrs") == F.col("__rs"))
+    joined = left.join(right, condition, "left")
     if not right_unique:
         # A key that is hot on the right has partners; a repeat without one is no result.
-        joined = joined.where(~(F.col("__rhot") & F.col("__hit").isNull()))
+        joined = joined.where((F.col("__rhot") == 1) | F.col("__hit"))
     return joined.drop(*right_keys, "__lhot", "__rhot", "__ls", "__rls", "__lrs", "__rs")
 
 
@@ -246,8 +242,7 @@ def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small:
     elif hot_rows is not None and not known_small(side) and not known_small(keyed):
         hot = _hot_keys(keys, hot_rows, __lhot=keyed)
         keyed = _mark_hot(keyed, hot, keys, ["__lhot"])
-        is_hot = F.col("__lhot") if nulls == "match" else F.col("__lhot") | _any_null(keys)
-        keyed = _spread(keyed, is_hot, "__ls")
+        keyed = _spread(keyed, F.col("__lhot"), "__ls", None if nulls == "match" else _any_null(keys))
         side = _mark_hot(side.toDF(*keys), hot, keys, ["__lhot"])
         side = _repeat(side, F.col("__lhot"), "__rls").drop("__lhot").withColumnsRenamed(dict(zip(keys, right_keys)))
         condition = condition & (F.col("__ls") == F.col("__rls"))

@@ -81,11 +81,25 @@ def test_hot_keys_on_both_sides(no_broadcast, spark):
     assert rows(j.full_join(l, r, "k", hot_rows=10)) == rows(j.full_join(l, r, "k", hot_rows=None))
 
 
-def test_hot_key_rows_are_spread_over_tasks(spark):
-    l = spark.range(1000).select(F.lit("hot").alias("k"), "id")
-    spread = j._spread(j._with_keys(l, [F.col("k")]), F.lit(True), "sub")
-    per_bucket = [r["count"] for r in spread.groupBy("sub").count().collect()]
-    assert len(per_bucket) == j.BUCKETS and max(per_bucket) < 1000 / j.BUCKETS * 3
+def test_hot_key_rows_are_spread_over_tasks(no_broadcast, spark):
+    """A key with a third of all rows, all of them copies, ends up in many sub-keys."""
+    l = spark.range(0, 3000, 1, 50).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
+    keyed = j._with_keys(l, [F.col("k")])
+    hot = j._hot_keys(["__k0"], 100, __lhot=keyed)
+    assert rows(hot) == [("hot", 10)]
+    spread = j._spread(j._mark_hot(keyed, hot, ["__k0"], ["__lhot"]), F.col("__lhot"), "sub")
+    assert max(r["count"] for r in spread.groupBy("k", "sub").count().collect()) <= 150
+    r = l.distinct().withColumn("w", F.length("k"))
+    assert j.left_join(l, r, "k", hot_rows=100).where("w is not null").count() == 3000
+
+
+def test_joins_read_only_the_columns_used(no_broadcast, spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(10).select("id", *[F.lit(i).alias(f"c{i}") for i in range(5)]).write.parquet(path)
+    wide = spark.read.parquet(path)
+    joined = j.left_join(wide, wide.select("id", F.col("c1").alias("w")), "id").select("id", "c0", "w")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "c0" in plan and "c3" not in plan and "c4" not in plan
 
 
 def test_key_pairs_and_suffix(spark):
