@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tablemend.functions.nulls import distinct_with_null
 from tablemend.operators.columns import col
 from tablemend.operators.joins import HOT_ROWS, left_join, semi_join
+from tablemend.operators.sets import union_sources
 
 
 def collapse_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str], sep: str = ", ", null_text: str = "NA") -> DataFrame:
@@ -41,33 +42,33 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
     return df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias(name))
 
 
-def conflicts(df: DataFrame, determinant: Sequence[str], dependent: str, sep: str = ", ") -> DataFrame:
-    """Determinant values that come with more than one dependent value, and which.
+def conflicts(df: DataFrame, determinant: Sequence[str], dependent: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """Determinant values that come with more than one dependent value, one row per value found.
 
-    Rows with a NULL on either side are no evidence and are left out.
+    ``n_rows`` counts the rows of a value and ``n_values`` the values of its
+    determinant. Rows with a NULL on either side are no evidence and are left out.
     """
-    pairs = df.dropna(subset=[*determinant, dependent]).select(*[col(d) for d in determinant], col(dependent).alias("__v")).distinct()
-    listed = F.array_join(F.array_sort(F.collect_list(F.col("__v").cast("string"))), sep)
-    return (
-        pairs.groupBy(*[col(d) for d in determinant])
-        .agg(F.count(F.lit(1)).alias("n_values"), listed.alias("found_values"))
-        .where("n_values > 1")
+    keys = list(determinant)
+    found = (
+        df.dropna(subset=[*keys, dependent])
+        .groupBy(*[col(d) for d in keys], col(dependent).cast("string").alias("found_value"))
+        .agg(F.count(F.lit(1)).alias("n_rows"))
     )
+    several = found.groupBy(*[col(d) for d in keys]).agg(F.count(F.lit(1)).alias("n_values")).where("n_values > 1")
+    return left_join(found, several, keys, nulls="never", right_unique=True, hot_rows=hot_rows).where("n_values > 1")
 
 
-def conflict_report(df: DataFrame, rules: Sequence[tuple[Sequence[str], str]]) -> DataFrame:
+def conflict_report(df: DataFrame, rules: Sequence[tuple[Sequence[str], str]], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All conflicts of several (determinant, dependent) rules in one long table."""
-    from tablemend.operators.sets import union_sources
-
     parts = []
     for determinant, dependent in rules:
-        found = conflicts(df, determinant, dependent)
-        parts.append(found.select(
+        parts.append(conflicts(df, determinant, dependent, hot_rows).select(
             F.lit("+".join(determinant)).alias("determinant"),
             F.lit(dependent).alias("dependent"),
             F.concat_ws("|", *[col(d).cast("string") for d in determinant]).alias("determinant_value"),
+            "found_value",
+            "n_rows",
             "n_values",
-            "found_values",
         ))
     return union_sources(parts)
 

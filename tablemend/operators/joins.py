@@ -76,15 +76,15 @@ def _all_equal(pairs: Sequence[tuple[Column, Column]], nulls: str) -> Column:
     return condition
 
 
-def _key_names(n: int) -> list[str]:
+def key_names(n: int) -> list[str]:
     return [f"__k{i}" for i in range(n)]
 
 
 def _with_keys(df: DataFrame, keys: Sequence[Column]) -> DataFrame:
-    return df.withColumns(dict(zip(_key_names(len(keys)), keys)))
+    return df.withColumns(dict(zip(key_names(len(keys)), keys)))
 
 
-def _hot_keys(keys: Sequence[str], hot_rows: int, **sides: DataFrame) -> DataFrame:
+def hot_keys(keys: Sequence[str], hot_rows: int, **sides: DataFrame) -> DataFrame:
     """Keys with more than ``hot_rows`` rows on a side, with the number of sub-keys per side."""
     tagged = [
         df.select(*keys, *[F.lit(int(other == side)).alias(other) for other in sides])
@@ -100,7 +100,7 @@ def _hot_keys(keys: Sequence[str], hot_rows: int, **sides: DataFrame) -> DataFra
     )
 
 
-def _mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], sides: Sequence[str]) -> DataFrame:
+def mark_hot(df: DataFrame, hot: DataFrame, keys: Sequence[str], sides: Sequence[str]) -> DataFrame:
     """Look the number of sub-keys up in the short list of hot keys; 1 if the key is not hot."""
     condition = _all_equal([(F.col(k), F.col(f"{k}_hot")) for k in keys], "match")
     marked = df.join(F.broadcast(hot), condition, "left").drop(*[f"{k}_hot" for k in keys])
@@ -141,7 +141,7 @@ def _left_keyed(
     ``counted`` replaces the left table when counting keys, and ``unmatchable``
     tells which left rows cannot meet any partner, so may go to any task.
     """
-    keys = _key_names(n_keys)
+    keys = key_names(n_keys)
     right_keys = [f"__r{i}" for i in range(n_keys)]
     right = right.withColumn("__hit", F.lit(True))
     if nulls == "never":
@@ -158,12 +158,12 @@ def _left_keyed(
     sides = {"__lhot": counted}
     if not right_unique:
         sides["__rhot"] = right.select(*[F.col(r).alias(k) for k, r in zip(keys, right_keys)])
-    hot = _hot_keys(keys, hot_rows, **sides)
+    hot = hot_keys(keys, hot_rows, **sides)
 
-    left = _mark_hot(left, hot, keys, list(sides))
+    left = mark_hot(left, hot, keys, list(sides))
     left = _spread(left, F.col("__lhot"), "__ls", None if unmatchable is None else F.coalesce(unmatchable, F.lit(False)))
     right = right.withColumnsRenamed(dict(zip(right_keys, keys)))
-    right = _mark_hot(right, hot, keys, list(sides))
+    right = mark_hot(right, hot, keys, list(sides))
     if not right_unique:
         right = _spread(right, F.col("__rhot"), "__rs").drop("__rhot")
         left = _repeat(left, F.col("__rhot"), "__lrs")
@@ -230,7 +230,7 @@ def left_join(
 def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small: bool, hot_rows: int | None, right_unique: bool = False) -> DataFrame:
     pairs = key_pairs(on)
     keyed = _with_keys(left, [col(l) for l, _ in pairs])
-    keys = _key_names(len(pairs))
+    keys = key_names(len(pairs))
     side = right.select(*[col(r).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)])
     side = side if right_unique else side.distinct()
     right_keys = side.columns
@@ -240,10 +240,10 @@ def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small:
     if small:
         side = F.broadcast(side)
     elif hot_rows is not None and not known_small(side) and not known_small(keyed):
-        hot = _hot_keys(keys, hot_rows, __lhot=keyed)
-        keyed = _mark_hot(keyed, hot, keys, ["__lhot"])
+        hot = hot_keys(keys, hot_rows, __lhot=keyed)
+        keyed = mark_hot(keyed, hot, keys, ["__lhot"])
         keyed = _spread(keyed, F.col("__lhot"), "__ls", None if nulls == "match" else _any_null(keys))
-        side = _mark_hot(side.toDF(*keys), hot, keys, ["__lhot"])
+        side = mark_hot(side.toDF(*keys), hot, keys, ["__lhot"])
         side = _repeat(side, F.col("__lhot"), "__rls").drop("__lhot").withColumnsRenamed(dict(zip(keys, right_keys)))
         condition = condition & (F.col("__ls") == F.col("__rls"))
     return keyed.join(side, condition, how).select(*[col(c) for c in left.columns])
@@ -281,7 +281,7 @@ def full_join(
         keyed = _with_keys(left, [col(l) for l, _ in pairs])
         side = _right_side(right, pairs, names)
         right_keys = side.columns[: len(pairs)]
-        condition = _all_equal([(F.col(a), F.col(b)) for a, b in zip(_key_names(len(pairs)), right_keys)], nulls)
+        condition = _all_equal([(F.col(a), F.col(b)) for a, b in zip(key_names(len(pairs)), right_keys)], nulls)
         merged = {l: F.coalesce(col(l), F.col(r)) for (l, _), r in zip(pairs, right_keys)}
         return keyed.join(side, condition, "full").select(
             *[merged.get(c, col(c)).alias(c) for c in left.columns], *[col(c) for c in names.values()]
@@ -354,7 +354,7 @@ def _passes(x, y, passes, nulls, pass_column, right_unique, hot_rows) -> DataFra
         out = out.withColumns({
             "__found": F.coalesce(F.col("__found"), F.col("__new")),
             "__pass": F.coalesce(F.col("__pass"), F.when(F.col("__hit"), F.lit(number))),
-        }).drop("__new", "__hit", *_key_names(len(keys)))
+        }).drop("__new", "__hit", *key_names(len(keys)))
     extra = [] if pass_column is None else [F.col("__pass").alias(pass_column)]
     return out.select(*[col(c) for c in x.columns], *[F.col("__found")[c].alias(c) for c in payload], *extra)
 

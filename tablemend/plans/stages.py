@@ -20,7 +20,7 @@ from tablemend.plans import catalogue as cat
 from tablemend.plans.name_rules import CATALOGUE_NEEDS, NAME_RULES, OBSERVED_NEEDS, with_needed
 from tablemend.plans.reconcile import NameRule, merge_indistinct, reconcile
 from tablemend.plans.source_specs import ALIAS_SPELLINGS
-from tablemend.sources.tables import cut_lineage, literal_table
+from tablemend.sources.tables import cut_lineage, literal_table, read_table, write_table
 
 VOCABULARY_KEY = ("Clone", "Oligo_ID", "TotalSeq_Cat")
 FRONT = ("Study", "Antigen", "Clone", "Cat_Number", "Oligo_ID", "TotalSeq_Cat")
@@ -93,3 +93,27 @@ def _barcodes(base: DataFrame, known: DataFrame, labels: Sequence[str], hot_rows
 def standardise_catalogue(catalogue: DataFrame, identity: Sequence[str] = ("ALT_ID",), hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One standard name per identity."""
     return cat.standardise_names(catalogue, identity, hot_rows=hot_rows)
+
+
+def run_all(
+    tables: Sequence[DataFrame],
+    aliases: DataFrame,
+    observed: DataFrame,
+    out: str,
+    corrections: Sequence[tuple[DataFrame, Sequence[str]]] = (),
+    vocabulary: DataFrame | None = None,
+    carry: Sequence[str] = (),
+    hot_rows: int | None = HOT_ROWS,
+) -> dict[str, DataFrame]:
+    """All stages, each stored under ``out`` by source and read back by the next one."""
+
+    def stored(name: str, df: DataFrame) -> DataFrame:
+        path = f"{out}/{name}"
+        write_table(df, path, ["Study"])
+        return read_table(df.sparkSession, path)
+
+    built = stored("catalogue", build_catalogue(tables, corrections, vocabulary, hot_rows=hot_rows))
+    annotated = stored("annotated", annotate_catalogue(built, aliases, vocabulary, hot_rows=hot_rows))
+    named = stored("named", reconcile_catalogue(annotated, observed, vocabulary, carry=carry, hot_rows=hot_rows))
+    standard = stored("standard", standardise_catalogue(named, hot_rows=hot_rows))
+    return {"catalogue": built, "annotated": annotated, "named": named, "standard": standard}

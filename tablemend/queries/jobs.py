@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from tablemend.functions import text as x
 from tablemend.operators import columns as c
+from tablemend.operators.aggregates import count_by
 from tablemend.operators.sets import union_sources
+from tablemend.plans import audits
 from tablemend.plans import catalogue as cat
 from tablemend.plans.reconcile import NameRule, reconcile
 from tablemend.plans.spec import SourceSpec, Split, harmonise
@@ -246,6 +248,29 @@ SELECT o_orderkey, 'orders' AS "Study",
 FROM x
 """)
 def unify_clean(t):
+    return c.keep(_order_catalogue(t), [
+        "o_orderkey", "Study", "Antigen", "Cat_Number", "Vendor", "Clone", "Reactivity", "Isotype", "Origin_Species", "Isotype_Control"
+    ])
+
+
+@query("q67_catalogue_audits", """
+SELECT 'unclassified number' AS audit, 'orders' AS "Study", count(*) AS n FROM orders WHERE o_orderpriority = '5-LOW' AND o_orderstatus <> 'O'
+UNION ALL
+SELECT 'no clone name', 'orders', count(*) FROM orders WHERE o_orderpriority <> '1-URGENT' AND o_orderpriority <> '2-HIGH'
+UNION ALL
+SELECT 'unannotated', 'orders', count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '3-MEDIUM'
+""")
+def catalogue_audits(t):
+    orders = _order_catalogue(t)
+    identified = orders.withColumn("ALT_ID", F.when(F.col("Cat_Number").startswith("custom made ("), "known"))
+    return union_sources([
+        audits.sentinels(orders).select(F.lit("unclassified number").alias("audit"), "Study", "n"),
+        count_by(audits.unlike(orders, "Clone", "^[0-9]+E"), ["Study"]).select(F.lit("no clone name").alias("audit"), "Study", "n"),
+        count_by(audits.unannotated(identified), ["Study"]).select(F.lit("unannotated").alias("audit"), "Study", "n"),
+    ])
+
+
+def _order_catalogue(t):
     p, s, k = F.col("o_orderpriority"), F.col("o_orderstatus"), F.col("o_orderkey").cast("string")
     raw = t.orders.select(
         "o_orderkey",
@@ -259,6 +284,4 @@ def unify_clean(t):
         F.when(p == "2-HIGH", "Mouse IgG1").when(p == "1-URGENT", "IgG2a").alias("Isotype"),
     )
     halves = [raw.where(s == "F"), raw.where(s != "F")]
-    return c.keep(cat.unify(halves), [
-        "o_orderkey", "Study", "Antigen", "Cat_Number", "Vendor", "Clone", "Reactivity", "Isotype", "Origin_Species", "Isotype_Control"
-    ])
+    return cat.unify(halves)

@@ -66,10 +66,10 @@ def collapse_groups(t):
 
 
 def _fd_sql(determinant: str, value: str, dependent: str) -> str:
-    return f"""SELECT '{determinant}' AS determinant, '{dependent}' AS dependent, {value} AS determinant_value,
-       count(DISTINCT {dependent}) AS n_values,
-       string_agg(DISTINCT CAST({dependent} AS VARCHAR), ', ' ORDER BY CAST({dependent} AS VARCHAR)) AS found_values
-FROM part GROUP BY {value} HAVING count(DISTINCT {dependent}) > 1"""
+    return f"""SELECT '{determinant}' AS determinant, '{dependent}' AS dependent, k AS determinant_value, v AS found_value, n_rows, n_values
+FROM (SELECT {value} AS k, CAST({dependent} AS VARCHAR) AS v, count(*) AS n_rows,
+             count(*) OVER (PARTITION BY {value}) AS n_values FROM part GROUP BY 1, 2)
+WHERE n_values > 1"""
 
 
 @query("q37_fd_conflicts", " UNION ALL ".join([

@@ -339,7 +339,7 @@ def test_indistinct_items_become_one(spark):
     assert rows(merge_indistinct(base, "m"), "Study", "Antigen", "Clone") == sorted([("m", "CD3", None), ("m", "CD4", "c"), ("n", "CD3", "d")], key=repr)
 
 
-def test_stages_end_to_end(spark):
+def test_stages_end_to_end(spark, tmp_path):
     tables = [
         one(spark, Study="Bai_2022", Antigen="CD4", Clone="SK3", Cat_Number=None, Oligo_ID="0045", TotalSeq_Cat="A", Vendor="Biolegend", Reactivity="Human"),
         one(spark, Study="Qi_2020", Antigen="CD4 (T4)", Clone="SK3", Cat_Number="344649", Oligo_ID=None, TotalSeq_Cat="A", Vendor="x", Reactivity="mouse, human"),
@@ -355,6 +355,10 @@ def test_stages_end_to_end(spark):
     assert rows(named, "ID", "Data_Name") == sorted([("CD4__Bai_2022", "ADT-CD4"), ("CD4 (T4)__Qi_2020", None), ("CD5__Qi_2020", "CD5.1")], key=repr)
     standard = stages.standardise_catalogue(named)
     assert rows(standard, "Antigen", "Antigen_std") == sorted([("CD4", "CD4"), ("CD4 (T4)", "CD4"), ("CD5", None)], key=repr)
+    known = aliases(spark, ("CD4", "HGNC:1678", "CD4"))
+    stored = stages.run_all(tables, known, seen, str(tmp_path / "out"), specs.catalogue_corrections(spark), vocabulary)
+    assert rows(stored["standard"], "Study", "Antigen", "Data_Name", "Antigen_std") == rows(standard, "Study", "Antigen", "Data_Name", "Antigen_std")
+    assert stored["standard"].where("Study = 'Qi_2020'").count() == 2
 
 
 def test_union_of_harmonised_sources_conserves_rows(spark):

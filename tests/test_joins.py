@@ -85,9 +85,9 @@ def test_hot_key_rows_are_spread_over_tasks(no_broadcast, spark):
     """A key with a third of all rows, all of them copies, ends up in many sub-keys."""
     l = spark.range(0, 3000, 1, 50).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"))
     keyed = j._with_keys(l, [F.col("k")])
-    hot = j._hot_keys(["__k0"], 100, __lhot=keyed)
+    hot = j.hot_keys(["__k0"], 100, __lhot=keyed)
     assert rows(hot) == [("hot", 10)]
-    spread = j._spread(j._mark_hot(keyed, hot, ["__k0"], ["__lhot"]), F.col("__lhot"), "sub")
+    spread = j._spread(j.mark_hot(keyed, hot, ["__k0"], ["__lhot"]), F.col("__lhot"), "sub")
     assert max(r["count"] for r in spread.groupBy("k", "sub").count().collect()) <= 150
     r = l.distinct().withColumn("w", F.length("k"))
     assert j.left_join(l, r, "k", hot_rows=100).where("w is not null").count() == 3000

@@ -79,14 +79,14 @@ def test_fill_by_group_can_stop_on_conflict(spark):
 
 @SLOW
 @given(data=st.lists(st.tuples(KEY, VALUE), max_size=20), width=st.sampled_from([None, 1, 3, 50]))
-def test_fill_down(spark, data, width):
+def test_fill_down(no_broadcast, spark, data, width):
     numbered = [(k, c, n) for n, (k, c) in enumerate(data)]
     last, want = {}, []
     for k, c, n in numbered:
         last[k] = c if c is not None else last.get(k)
         want.append((k, last[k], n))
     chunk = None if width is None else F.floor(F.col("i") / width)
-    assert rows(fill.fill_down(table(spark, numbered), ["c"], ["k"], ["i"], chunk)) == sorted(want, key=repr)
+    assert rows(fill.fill_down(table(spark, numbered), ["c"], ["k"], ["i"], chunk, hot_rows=3)) == sorted(want, key=repr)
 
 
 def test_fill_down_needs_a_group(spark):
@@ -142,7 +142,7 @@ def test_group_reports(spark):
     df = table(spark, data)
     assert rows(a.collapse_groups(df, ["k"], ["c"])) == [("a", "NA, x"), ("b", None)]
     assert rows(a.null_census(df)) == [(0, 3, 0)]
-    assert rows(a.conflicts(df, ["k"], "i")) == [("a", 2, "1, 2"), ("b", 2, "1, 2")]
+    assert rows(a.conflicts(df, ["k"], "i")) == [("a", "1", 2, 2), ("a", "2", 1, 2), ("b", "1", 1, 2), ("b", "2", 1, 2)]
     assert rows(a.conflicts(df, ["k"], "c")) == []
     assert rows(a.groups_with_repeats(df, ["k"], "i")) == sorted([d for d in data if d[0] == "a"], key=repr)
     assert rows(a.repeated_in_group(df, ["k"], "c")) == sorted([data[0], data[2], data[3], data[4]], key=repr)
