@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.functions import text as x
-from tablemend.functions.nulls import if_else, matches, null_if_any, one_of
+from tablemend.functions.nulls import matches, null_if_any, one_of
 from tablemend.functions.split import separate, split_parts
 from tablemend.operators import columns as c
 from tablemend.operators.aggregates import collapse_groups, elect
 from tablemend.operators.columns import col
 from tablemend.operators.fill import fill_by_group
-from tablemend.operators.joins import HOT_ROWS, anti_join, join_any, left_join
+from tablemend.operators.joins import HOT_ROWS, join_any, left_join
 from tablemend.operators.rows import apply_corrections, rows_patch
 from tablemend.operators.sets import union_sources, upsert_union
 from tablemend.sources.tables import cut_lineage

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from tablemend.functions import nulls as n
 from tablemend.functions import text as x
 from tablemend.functions.split import separate
-from tablemend.operators.joins import HOT_ROWS  # noqa: F401
 from tablemend.queries.registry import query
 
 

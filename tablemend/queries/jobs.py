@@ -150,12 +150,7 @@ def standardise_names(t):
     return cat.standardise_names(parts, ["identity"])
 
 
-_PAGE_NAME_SQL = r"""CASE WHEN url LIKE 'https%' THEN 'Mouse  Anti-Human ' ELSE 'Anti-Human ' END || regexp_extract(url, '://([^/]+)', 1)
- || CASE WHEN url LIKE '%?%' THEN ' Polyclonal' ELSE ' Monoclonal' END || ' Antibody, Clone ' || CASE WHEN url LIKE '%#%' THEN 'Clone ' ELSE '' END
- || regexp_extract(url, '/([0-9]+)', 1)"""
-
-
-@query("q48_registry_extract", rf"""
+@query("q48_registry_extract", r"""
 SELECT page_id AS "RRID", CASE WHEN url LIKE 'https%' THEN 'Mouse' ELSE '' END AS "Species",
        regexp_extract(url, '://([^/]+)', 1) AS "Antigen", regexp_extract(url, '/([0-9]+)', 1) AS "Clone"
 FROM pages WHERE url NOT LIKE '%?%'
@@ -170,9 +165,9 @@ def registry_extract(t):
         F.when(url.contains("#"), "Clone ").otherwise(""),
         F.regexp_extract(url, "/([0-9]+)", 1),
     )
-    pages = t.pages.select(F.col("page_id").alias("id"), F.ltrim(name).alias("ab_name"), F.lit("x").alias("defining_citation"))
-    # The species is what stands before the marker; entries that begin with it have none.
-    return cat.registry_extract(pages.withColumn("ab_name", F.concat(F.lit(" "), "ab_name")), renames={"RRID": "id"})
+    # Entries that begin with the marker name no species.
+    pages = t.pages.select(F.col("page_id").alias("id"), F.concat(F.lit(" "), name).alias("ab_name"), F.lit("x").alias("defining_citation"))
+    return cat.registry_extract(pages, renames={"RRID": "id"})
 
 
 @query("q51_keep_rule_sorted", """

@@ -19,9 +19,11 @@ def spark(tmp_path_factory):
     # Local tests only: a cluster names its own shared folder.
     work = tmp_path_factory.mktemp("work")
     session = (
-        tuned(SparkSession.builder.master("local[4]").appName("tests"), 4)
+        tuned(SparkSession.builder.master("local[4]").appName("tests"), 2)
         .config("spark.ui.enabled", "false")
         .config("spark.checkpoint.dir", str(work))
+        # Tiny tables: compiling a plan costs more than interpreting it.
+        .config("spark.sql.codegen.wholeStage", "false")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

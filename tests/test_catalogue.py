@@ -10,7 +10,7 @@ from tablemend.plans import catalogue as cat
 from tablemend.plans import source_specs as specs
 from tablemend.plans.name_rules import FEATURE_LABELS, NAME_RULES, panel_names, portal_names
 from tablemend.plans.reconcile import (
-    NameRule, accession_list, accession_of_file, merge_indistinct, null_key_matches, observed_names, reconcile, unmatched_keys,
+    accession_list, accession_of_file, merge_indistinct, null_key_matches, observed_names, reconcile, unmatched_keys,
 )
 from tablemend.plans.spec import SourceSpec, Split, harmonise
 from tablemend.plans import stages
