@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.functions.nulls import matches
+from tablemend.functions.text import squish
 from tablemend.operators import columns as c
 from tablemend.operators.columns import col
 from tablemend.operators.joins import HOT_ROWS, left_join
@@ -80,7 +81,8 @@ def reconcile_catalogue(
         base = base.withColumn("Antigen", F.when(one_name, "CD275").otherwise(col("Antigen")))
         base = cut_lineage(merge_indistinct(base, label, hot_rows=hot_rows), "indistinct")
     named = reconcile(base, with_needed(observed, OBSERVED_NEEDS), rules, carry=carry, store_keys=True, hot_rows=hot_rows)
-    return c.relocate(c.add_row_id(named), ["Antigen", "Data_Name"])
+    squished = c.across(named, squish, dtype="string")
+    return c.relocate(c.add_row_id(squished), ["Antigen", "Data_Name"])
 
 
 def _barcodes(base: DataFrame, known: DataFrame, labels: Sequence[str], hot_rows: int | None) -> DataFrame:

@@ -10,7 +10,15 @@ from tablemend.operators.aggregates import count_by
 from tablemend.operators.sets import union_sources
 from tablemend.plans import audits
 from tablemend.plans import catalogue as cat
-from tablemend.plans.reconcile import NameRule, reconcile
+from tablemend.plans.reconcile import (
+    NameRule,
+    accession_list,
+    accession_of_file,
+    merge_indistinct,
+    observed_names,
+    reconcile,
+    unmatched_keys,
+)
 from tablemend.plans.spec import SourceSpec, Split, harmonise
 from tablemend.queries.registry import query
 
@@ -80,7 +88,7 @@ def complete_vocabulary(t):
     return cat.complete(parts, t.part, ["p_name", "p_size"], ["p_brand"])
 
 
-def _two_renderings(t):
+def _renderings(t):
     part = t.part
     study = F.when(F.col("p_type").isin("PROMO", "SMALL", "LARGE"), "upper").otherwise("dotted")
     catalogue = part.select("p_partkey", study.alias("Study"), F.concat_ws(" ", "p_name", "p_brand").alias("Antigen"))
@@ -99,6 +107,11 @@ def _two_renderings(t):
             append="key",
         ),
     }
+    return catalogue, observed, rules
+
+
+def _two_renderings(t):
+    catalogue, observed, rules = _renderings(t)
     return catalogue, reconcile(catalogue, observed, rules)
 
 
@@ -121,6 +134,42 @@ def reconcile_names(t):
     return _two_renderings(t)[1]
 
 
+@query("q71_unmatched_keys", """
+WITH c AS (SELECT DISTINCT CASE WHEN p_type IN ('PROMO', 'SMALL', 'LARGE') THEN 'upper' ELSE 'dotted' END AS study,
+                  CASE WHEN p_type IN ('PROMO', 'SMALL', 'LARGE') THEN lower(p_name || ' ' || p_brand) ELSE p_name || ' ' || p_brand END AS k FROM part),
+o AS (SELECT DISTINCT CASE WHEN p_size <= 25 THEN 'upper' ELSE 'dotted' END AS study,
+             CASE WHEN p_size <= 25 THEN lower(p_name || ' ' || p_brand) ELSE p_name || ' ' || p_brand END AS k FROM part)
+SELECT study AS "Study", k AS key, 'left' AS side FROM (SELECT * FROM c EXCEPT SELECT * FROM o)
+UNION ALL SELECT study, k, 'right' FROM (SELECT * FROM o EXCEPT SELECT * FROM c)
+""")
+def unmatched_names(t):
+    return unmatched_keys(*_renderings(t))
+
+
+@query("q72_observed_names", """
+SELECT d.lang AS "Study", d.source AS "Data_Name", d.file FROM (
+  SELECT DISTINCT 'L_' || lang AS lang, source, 'data/features_L' || lang || '-' || source || '.rds' AS file FROM documents) d
+""")
+def names_by_accession(t):
+    seen = t.documents.select(
+        F.concat(F.lit("data/features_L"), "lang", F.lit("-"), "source", F.lit(".rds")).alias("file"), F.col("source").alias("data_name")
+    ).distinct()
+    names = seen.withColumn("accession", accession_of_file(F.col("file")))
+    # Without an accession a paper goes by its name without underscores.
+    papers = t.documents.select(F.concat(F.lit("L_"), "lang").alias("Name"), F.lit(None).cast("string").alias("Accession")).distinct()
+    return observed_names(names, accession_list(papers)).select("Study", "Data_Name", "file")
+
+
+@query("q73_merge_indistinct", """
+WITH x AS (SELECT p_brand AS study, p_name AS antigen, p_type, count(*) OVER (PARTITION BY p_brand, p_name) AS n FROM part)
+SELECT DISTINCT study AS "Study", antigen AS "Antigen", CASE WHEN n = 1 THEN p_type END AS "Clone" FROM x WHERE study = 'Brand#7'
+UNION ALL SELECT study, antigen, p_type FROM x WHERE study <> 'Brand#7'
+""")
+def indistinct_items(t):
+    parts = t.part.select(F.col("p_brand").alias("Study"), F.col("p_name").alias("Antigen"), F.col("p_type").alias("Clone"))
+    return merge_indistinct(parts, "Brand#7", ["Clone"])
+
+
 @query("q65_merge_back", f"""WITH {_RECONCILE_SQL},
 u AS (SELECT p_partkey, study, antigen, data_name FROM r WHERE study = 'upper'),
 m AS (SELECT * FROM u UNION ALL

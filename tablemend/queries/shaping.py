@@ -10,6 +10,7 @@ from tablemend.operators.aggregates import null_census
 from tablemend.operators.sets import union_sources
 from tablemend.plans.audits import row_conservation
 from tablemend.queries.registry import Tables, query
+from tablemend.sources.delimited import source_name
 from tablemend.sources.tables import names_to_rows
 
 
@@ -100,3 +101,22 @@ def row_id_paste(t):
     with_id = c.add_row_id(nations, ["name", "region"], "id")
     strict = paste(F.col("name"), F.col("region"), sep="__", null_text=None)
     return with_id.select("n_nationkey", "id", strict.alias("strict_id"))
+
+
+@query("q69_select_by_pattern", """
+SELECT l_orderkey AS "ORDERKEY", l_partkey AS "PARTKEY", l_suppkey AS "SUPPKEY" FROM lineitem
+""")
+def select_by_pattern(t):
+    keys = c.keep_matching(t.lineitem, "key$")
+    return c.rename_with(keys, lambda name: name.removeprefix("l_").upper())
+
+
+@query("q70_rows_per_source", """
+SELECT 'customer' AS source, count(*) AS n, count(DISTINCT c_nationkey) AS n_nations FROM customer
+UNION ALL SELECT 'supplier', count(*), count(DISTINCT s_nationkey) FROM supplier
+""")
+def rows_per_source(t):
+    # The source is the file a row was read from.
+    source = source_name(F.col("_metadata.file_name")).alias("source")
+    files = [t.customer.select(F.col("c_nationkey").alias("nation"), source), t.supplier.select(F.col("s_nationkey").alias("nation"), source)]
+    return union_sources(files).groupBy("source").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("nation").alias("n_nations"))
