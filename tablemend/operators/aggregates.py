@@ -45,8 +45,8 @@ def count_by(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
 def conflicts(df: DataFrame, determinant: Sequence[str], dependent: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Determinant values that come with more than one dependent value, one row per value found.
 
-    ``n_rows`` counts the rows of a value and ``n_values`` the values of its
-    determinant. Rows with a NULL on either side are no evidence and are left out.
+    ``n_rows`` counts the rows of a value, ``n_values`` and ``n_group`` the values
+    and rows of its determinant. Rows with a NULL on either side are no evidence and are left out.
     """
     keys = list(determinant)
     found = (
@@ -54,7 +54,11 @@ def conflicts(df: DataFrame, determinant: Sequence[str], dependent: str, hot_row
         .groupBy(*[col(d) for d in keys], col(dependent).cast("string").alias("found_value"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    several = found.groupBy(*[col(d) for d in keys]).agg(F.count(F.lit(1)).alias("n_values")).where("n_values > 1")
+    several = (
+        found.groupBy(*[col(d) for d in keys])
+        .agg(F.count(F.lit(1)).alias("n_values"), F.sum("n_rows").alias("n_group"))
+        .where("n_values > 1")
+    )
     return left_join(found, several, keys, nulls="never", right_unique=True, hot_rows=hot_rows).where("n_values > 1")
 
 
@@ -69,6 +73,7 @@ def conflict_report(df: DataFrame, rules: Sequence[tuple[Sequence[str], str]], h
             "found_value",
             "n_rows",
             "n_values",
+            "n_group",
         ))
     return union_sources(parts)
 
@@ -95,15 +100,16 @@ def elect(
     name: str,
     elected: str,
     preference: Column | None = None,
+    weight: str | None = None,
 ) -> DataFrame:
-    """The most frequent name of each key; ties go to ``preference`` (low first), then to the first name.
+    """The most frequent name of each key (by rows, or by a ``weight`` column); ties go to ``preference`` (low first), then to the first name.
 
     Two combined aggregations instead of ranking a group in one task.
     """
     named = df.where(col(name).isNotNull())
     rank = F.lit(0) if preference is None else preference
     per_name = named.groupBy(*[col(k) for k in keys], col(name).alias("__name")).agg(
-        F.count(F.lit(1)).alias("__n"), F.min(rank).alias("__rank")
+        (F.count(F.lit(1)) if weight is None else F.sum(col(weight))).alias("__n"), F.min(rank).alias("__rank")
     )
     best = F.min(F.struct((-F.col("__n")).alias("n"), F.col("__rank").alias("rank"), F.col("__name").alias("name")))
     return per_name.groupBy(*[col(k) for k in keys]).agg(best.alias("__best")).select(

@@ -373,11 +373,30 @@ def match_cascade(
     matched = _passes(x, y, passes, nulls, pass_column, False, hot_rows)
     if not append_rest:
         return matched
-    rest = anti_join(y, matched.where(col(name).isNotNull()), name, hot_rows=hot_rows)
+    rest = unused_rows(x, y, passes, [name], nulls, hot_rows)
     kept = [c for c in rest.columns if c in matched.columns]
     return matched.unionByName(rest.select(*[col(c) for c in kept]), allowMissingColumns=True)
 
 
+def unused_rows(
+    x: DataFrame,
+    y: DataFrame,
+    passes: Sequence[str | Sequence[Key]],
+    on: Sequence[str],
+    nulls: str = "never",
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """The ``y`` rows whose ``on`` values a cascade would attach to no row of ``x``.
+
+    What a cascade attaches depends on the keys alone, so it runs over the distinct
+    key combinations of ``x``, not over its rows again.
+    """
+    keys = list(dict.fromkeys(left for p in passes for left, _ in key_pairs(p)))
+    combinations = x.select(*[col(k) for k in keys]).distinct()
+    used = _passes(combinations, y, passes, nulls, None, False, hot_rows)
+    return anti_join(y, used.where(col(on[-1]).isNotNull()), list(on), hot_rows=hot_rows)
+
+
 def repeated_partners(left: DataFrame, right: DataFrame, on: str | Sequence[Key], nulls: str = "match") -> DataFrame:
     """Audit of a one-to-many contract: left keys that repeat and also occur on the right."""
     pairs = key_pairs(on)

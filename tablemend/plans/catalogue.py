@@ -11,7 +11,7 @@ from tablemend.functions import text as x
 from tablemend.functions.nulls import matches, null_if_any, one_of
 from tablemend.functions.split import separate, split_parts
 from tablemend.operators import columns as c
-from tablemend.operators.aggregates import collapse_groups, elect
+from tablemend.operators.aggregates import collapse_groups, count_by, elect
 from tablemend.operators.columns import col
 from tablemend.operators.fill import fill_by_group
 from tablemend.operators.joins import HOT_ROWS, join_any, left_join
@@ -252,14 +252,15 @@ def standardise_names(
 ) -> DataFrame:
     """One standard name per identity; rows without an identity take the one of their name and source.
 
-    The standard is the name most rows of the identity use.
+    The standard is the name most rows of the identity use; ``preference`` is a
+    function of the name. Everything is decided on counts of (name, source,
+    identity); the rows themselves are only read to attach the result.
     """
-    elected = elect(catalogue.dropna(subset=list(identity)), identity, name, standard, preference)
+    counts = count_by(catalogue, _unique([name, label, *identity]), "__n_rows")
+    elected = elect(counts.dropna(subset=list(identity)), identity, name, standard, preference, "__n_rows")
+    voted = left_join(counts, elected, list(identity), nulls="never", right_unique=True, hot_rows=hot_rows)
+    peers = elect(voted, [name, label], standard, "__peer", weight="__n_rows")
     named = left_join(catalogue, elected, list(identity), nulls="never", right_unique=True, hot_rows=hot_rows)
-    peers = elect(
-        left_join(c.keep(catalogue, _unique([name, label, *identity])), elected, list(identity), nulls="never", right_unique=True, hot_rows=hot_rows),
-        [name, label], standard, "__peer",
-    )
     filled = left_join(named, peers, [name, label], right_unique=True, hot_rows=hot_rows)
     return filled.withColumn(standard, F.coalesce(col(standard), col("__peer"))).drop("__peer")
 

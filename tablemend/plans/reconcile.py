@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablemend.operators import columns as c
 from tablemend.operators.aggregates import count_by, null_out_ambiguous
 from tablemend.operators.columns import col
-from tablemend.operators.joins import HOT_ROWS, anti_join, match_cascade
+from tablemend.operators.joins import HOT_ROWS, match_cascade, unused_rows
 from tablemend.operators.sets import one_sided, union_sources
 from tablemend.sources.tables import cut_lineage
 
@@ -135,7 +135,8 @@ def reconcile(
         names, base = cut_lineage(names, "observed"), cut_lineage(base, "keyed")
     names = names.distinct()
     side = names.withColumnsRenamed({p: f"__obs_{p}" for p in patched})
-    matched = match_cascade(base, side, [[LABEL, k] for k in key_names], NAME, append_rest=False, hot_rows=hot_rows)
+    passes = [[LABEL, k] for k in key_names]
+    matched = match_cascade(base, side, passes, NAME, append_rest=False, hot_rows=hot_rows)
     matched = matched.withColumns({p: F.coalesce(col(p), col(f"__obs_{p}")) for p in patched})
     direct = _per_label({label: col("__key1") for label, r in rules.items() if r.direct})
     matched = matched.withColumn(NAME, F.coalesce(col(NAME), direct)).drop(*key_names, *[f"__obs_{p}" for p in patched])
@@ -143,8 +144,9 @@ def reconcile(
     appending = {label: r for label, r in rules.items() if r.append is not None}
     if not appending:
         return matched
-    used = matched.where(col(NAME).isNotNull()).select(LABEL, NAME, *carry)
-    rest = anti_join(names.where(col(LABEL).isin(list(appending))), used, [LABEL, NAME, *carry], hot_rows=hot_rows)
+    # The label is a key of every pass, so sources that append can be looked at alone.
+    open_names, open_rows = (t.where(col(LABEL).isin(list(appending))) for t in (names, base))
+    rest = unused_rows(open_rows, open_names, passes, [*carry, NAME], hot_rows=hot_rows)
     item = {"key": lambda: col("__key1"), "name": lambda: col(NAME)}
     rest = rest.withColumn(ITEM, _per_label({label: item.get(r.append, r.append)() for label, r in appending.items()}))
     constants = _unique([k for r in appending.values() for k in r.constants])

@@ -66,9 +66,10 @@ def collapse_groups(t):
 
 
 def _fd_sql(determinant: str, value: str, dependent: str) -> str:
-    return f"""SELECT '{determinant}' AS determinant, '{dependent}' AS dependent, k AS determinant_value, v AS found_value, n_rows, n_values
+    return f"""SELECT '{determinant}' AS determinant, '{dependent}' AS dependent, k AS determinant_value, v AS found_value, n_rows, n_values, n_group
 FROM (SELECT {value} AS k, CAST({dependent} AS VARCHAR) AS v, count(*) AS n_rows,
-             count(*) OVER (PARTITION BY {value}) AS n_values FROM part GROUP BY 1, 2)
+             count(*) OVER (PARTITION BY {value}) AS n_values,
+             CAST(sum(count(*)) OVER (PARTITION BY {value}) AS BIGINT) AS n_group FROM part GROUP BY 1, 2)
 WHERE n_values > 1"""
 
 

@@ -142,7 +142,7 @@ def test_group_reports(spark):
     df = table(spark, data)
     assert rows(a.collapse_groups(df, ["k"], ["c"])) == [("a", "NA, x"), ("b", None)]
     assert rows(a.null_census(df)) == [(0, 3, 0)]
-    assert rows(a.conflicts(df, ["k"], "i")) == [("a", "1", 2, 2), ("a", "2", 1, 2), ("b", "1", 1, 2), ("b", "2", 1, 2)]
+    assert rows(a.conflicts(df, ["k"], "i")) == [("a", "1", 2, 2, 3), ("a", "2", 1, 2, 3), ("b", "1", 1, 2, 2), ("b", "2", 1, 2, 2)]
     assert rows(a.conflicts(df, ["k"], "c")) == []
     assert rows(a.groups_with_repeats(df, ["k"], "i")) == sorted([d for d in data if d[0] == "a"], key=repr)
     assert rows(a.repeated_in_group(df, ["k"], "c")) == sorted([data[0], data[2], data[3], data[4]], key=repr)
