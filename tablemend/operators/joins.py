@@ -14,7 +14,8 @@ the threshold only moves work. A row's sub-key is the number of the task that
 reads it: this spreads copies of one row too, needs no other column, and stays
 the same when a lost task runs again. Where the plan statistics say that a side
 is below Spark's own broadcast limit, Spark needs no shuffle on that account and
-the count is left out.
+the count is left out; a large right side is then first reduced to the keys of
+a small left one.
 """
 
 from __future__ import annotations
@@ -126,6 +127,13 @@ def _repeat(df: DataFrame, parts: Column, sub_key: str) -> DataFrame:
     return df.withColumn(sub_key, F.explode(F.sequence(F.lit(0), parts - 1)))
 
 
+def _meeting(large: DataFrame, large_keys: Sequence[str], small: DataFrame, small_keys: Sequence[str], nulls: str) -> DataFrame:
+    """The rows of a large table that meet a small one, found without a shuffle of the large one."""
+    wanted = small.select(*[F.col(k).alias(f"{k}_wanted") for k in small_keys]).distinct()
+    condition = _all_equal([(F.col(a), F.col(f"{b}_wanted")) for a, b in zip(large_keys, small_keys)], nulls)
+    return large.join(F.broadcast(wanted), condition, "left_semi")
+
+
 def _left_keyed(
     left: DataFrame,
     right: DataFrame,
@@ -147,7 +155,11 @@ def _left_keyed(
     if nulls == "never":
         right = right.dropna(subset=right_keys)
     pairs = [(F.col(a), F.col(b)) for a, b in zip(keys, right_keys)]
-    if hot_rows is None or known_small(right) or (right_unique and known_small(left)):
+    plain = hot_rows is None or known_small(right)
+    if not plain and known_small(left):
+        right = _meeting(right, right_keys, left, keys, nulls)
+        plain = right_unique
+    if plain:
         return left.join(right, _all_equal(pairs, nulls), "left").drop(*right_keys)
 
     counted = (left if counted is None else counted).select(*keys)
@@ -232,14 +244,18 @@ def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small:
     keyed = _with_keys(left, [col(l) for l, _ in pairs])
     keys = key_names(len(pairs))
     side = right.select(*[col(r).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)])
-    side = side if right_unique else side.distinct()
     right_keys = side.columns
+    plain = small or hot_rows is None or known_small(side)
+    if not plain and known_small(keyed):
+        side = _meeting(side, right_keys, keyed, keys, nulls)
+        plain = True
+    side = side if right_unique else side.distinct()
     if nulls == "never":
         side = side.dropna()
     condition = _all_equal([(F.col(a), F.col(b)) for a, b in zip(keys, right_keys)], nulls)
     if small:
         side = F.broadcast(side)
-    elif hot_rows is not None and not known_small(side) and not known_small(keyed):
+    elif not plain:
         hot = hot_keys(keys, hot_rows, __lhot=keyed)
         keyed = mark_hot(keyed, hot, keys, ["__lhot"])
         keyed = _spread(keyed, F.col("__lhot"), "__ls", None if nulls == "match" else _any_null(keys))

@@ -165,15 +165,16 @@ WHERE o_orderstatus <> 'P' AND starts_with(c_name, 'Customer') AND len(c_name) =
   AND (nation IS NULL OR o_totalprice > 100000)
 """)
 def multi_filter(t):
-    joined = j.left_join(t.orders, t.customer, [("o_custkey", "c_custkey")], right_unique=True)
+    orders = t.orders.where(
+        (F.col("o_orderstatus") != "P") & one_of(F.col("o_orderpriority"), ["1-URGENT", "5-LOW"])
+    )
+    joined = j.left_join(orders, t.customer, [("o_custkey", "c_custkey")], right_unique=True)
     joined = j.left_join(joined, t.nation, [("c_nationkey", "n_nationkey")], right_unique=True, hot_rows=None)
     nation = F.when(F.col("n_regionkey") != 1, F.col("n_name"))
     return joined.withColumn("nation", nation).where(
-        (F.col("o_orderstatus") != "P")
-        & F.startswith(F.col("c_name"), F.lit("Customer"))
+        F.startswith(F.col("c_name"), F.lit("Customer"))
         & (F.length("c_name") == 18)
         & (F.col("c_mktsegment") == F.upper("c_mktsegment"))
-        & one_of(F.col("o_orderpriority"), ["1-URGENT", "5-LOW"])
         & ~matches(F.col("nation"), "_[0-9]$")
         & (F.col("nation").isNull() | (F.col("o_totalprice") > 100000))
     ).select("o_orderkey", "o_totalprice", "c_name", "nation")

@@ -102,6 +102,19 @@ def test_joins_read_only_the_columns_used(no_broadcast, spark, tmp_path):
     assert "c0" in plan and "c3" not in plan and "c4" not in plan
 
 
+@pytest.mark.parametrize("nulls", ["match", "never"])
+@pytest.mark.parametrize("small", ["v", "w"])
+def test_one_small_side(spark, monkeypatch, small, nulls):
+    """One side is broadcast, the other counted as large; the result is the same."""
+    left = [("a", "p", 1), ("b", "q", 2), (None, "r", 3), ("a", "s", 4)]
+    right = [("a", "x", 10), ("a", "y", 11), (None, "z", 12), ("c", "u", 13)]
+    l, r = frames(spark, left, right)
+    monkeypatch.setattr(j, "known_small", lambda df: small in df.columns)
+    assert rows(j.left_join(l, r, "k", nulls, hot_rows=1)) == sorted(brute_left(left, right, nulls), key=repr)
+    assert rows(j.full_join(l, r, "k", nulls, hot_rows=1)) == sorted(brute_full(left, right, nulls), key=repr)
+    assert rows(j.semi_join(l, r, "k", nulls, hot_rows=1), "v") == [(x[2],) for x in left if any(meet(x[0], y[0], nulls) for y in right)]
+
+
 def test_key_pairs_and_suffix(spark):
     l = spark.createDataFrame([(1, "x")], "a int, note string")
     r = spark.createDataFrame([(1, "y")], "b int, note string")
