@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.functions.nulls import matches
@@ -32,12 +32,28 @@ def missing_labels(found: DataFrame, expected: DataFrame, column: str) -> DataFr
 
 def unannotated(df: DataFrame, id_column: str = "ALT_ID", control: str = "Isotype_Control") -> DataFrame:
     """Rows without an identifier that are no controls."""
-    return df.where(col(id_column).isNull() & ~F.coalesce(col(control), F.lit(False)))
+    return df.where(is_unannotated(id_column, control))
+
+
+def count_conditions(df: DataFrame, conditions: Mapping[str, Column], by: Sequence[str] = ("Study",)) -> DataFrame:
+    """Rows per source that meet each condition, one line per source and condition, in one pass."""
+    counted = df.groupBy(*[col(b) for b in by]).agg(*[F.count_if(c).alias(name) for name, c in conditions.items()])
+    return counted.unpivot(list(by), list(conditions), "audit", "n")
+
+
+def is_unannotated(id_column: str = "ALT_ID", control: str = "Isotype_Control") -> Column:
+    """Row without an identifier that is no control."""
+    return col(id_column).isNull() & ~F.coalesce(col(control), F.lit(False))
+
+
+def is_sentinel(column: str = "Cat_Number", sentinel: str = "ERROR") -> Column:
+    """Row whose value no rule could classify."""
+    return F.coalesce(col(column) == sentinel, F.lit(False))
 
 
 def sentinels(df: DataFrame, column: str = "Cat_Number", sentinel: str = "ERROR") -> DataFrame:
     """Number of rows per source whose value no rule could classify."""
-    marked = df.where(col(column) == sentinel)
+    marked = df.where(is_sentinel(column, sentinel))
     return marked.groupBy("Study").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablemend.functions import text as x
+from tablemend.functions.nulls import matches
 from tablemend.operators import columns as c
-from tablemend.operators.aggregates import count_by
 from tablemend.operators.sets import union_sources
 from tablemend.plans import audits
 from tablemend.plans import catalogue as cat
@@ -305,13 +305,12 @@ UNION ALL
 SELECT 'unannotated', 'orders', count(*) FROM orders WHERE o_orderstatus = 'O' AND o_orderpriority <> '3-MEDIUM'
 """)
 def catalogue_audits(t):
-    orders = _order_catalogue(t)
-    identified = orders.withColumn("ALT_ID", F.when(F.col("Cat_Number").startswith("custom made ("), "known"))
-    return union_sources([
-        audits.sentinels(orders).select(F.lit("unclassified number").alias("audit"), "Study", "n"),
-        count_by(audits.unlike(orders, "Clone", "^[0-9]+E"), ["Study"]).select(F.lit("no clone name").alias("audit"), "Study", "n"),
-        count_by(audits.unannotated(identified), ["Study"]).select(F.lit("unannotated").alias("audit"), "Study", "n"),
-    ])
+    orders = _order_catalogue(t).withColumn("ALT_ID", F.when(F.col("Cat_Number").startswith("custom made ("), "known"))
+    return audits.count_conditions(orders, {
+        "unclassified number": audits.is_sentinel(),
+        "no clone name": ~matches(F.col("Clone"), "^[0-9]+E"),
+        "unannotated": audits.is_unannotated(),
+    })
 
 
 def _order_catalogue(t):
