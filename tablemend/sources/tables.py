@@ -29,10 +29,16 @@ def names_to_rows(df: DataFrame, keys: Sequence[str], array: str, name: str) ->
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet", mode: str = "errorifexists") -> None:
-    """Store a result at a path of its own; Spark cannot overwrite what the plan still reads."""
+    """Store a result at a path of its own; Spark cannot overwrite what the plan still reads.
+
+    Rows are rebalanced by the partition columns first: small partitions become one
+    file each, and one that holds a third of all rows is split over many tasks.
+    """
     target = urlparse(path).path.rstrip("/") + "/"
     if mode == "overwrite" and any(urlparse(f).path.startswith(target) for f in df.inputFiles()):
         raise ValueError(f"the result still reads {path}; write to another path")
+    if partition_by:
+        df = df.hint("rebalance", *[F.col(p) for p in partition_by])
     writer = df.write.format(fmt).mode(mode)
     if fmt == "csv":
         writer = writer.option("header", True).option("nullValue", "NA")
