@@ -8,8 +8,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablemend.operators.columns import col
+from tablemend.operators.guards import fail_if
 from tablemend.operators.joins import HOT_ROWS, hot_keys, key_names, known_small, left_join, mark_hot
-from tablemend.operators.rows import fail_if
 
 
 def fill_down(

@@ -27,6 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.operators.columns import col
+from tablemend.operators.guards import stop_on
 
 HOT_ROWS = 1_000_000
 
@@ -284,15 +285,20 @@ def full_join(
     nulls: str = "match",
     suffix: str | None = "_right",
     right_unique: bool = False,
+    one_to_many: bool = False,
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """All rows of both tables; without ``on`` all shared columns are the key.
 
+    ``one_to_many`` states that no right row meets two left rows; the job stops if one does.
     A full outer join cannot be split when one key is hot, so it is built as
     left join plus the unmatched right rows; ``hot_rows=None`` uses Spark's own.
     """
     pairs = key_pairs(shared_columns(left, right) if on is None else on)
     names = _payload(left, right, [r for _, r in pairs], suffix)
+    if one_to_many:
+        whole = full_join(left, right, pairs, nulls, suffix, right_unique, hot_rows=hot_rows)
+        return stop_on(whole, repeated_partners(left, right, pairs, nulls), "a right row meets more than one left row")
     if hot_rows is None:
         keyed = _with_keys(left, [col(l) for l, _ in pairs])
         side = _right_side(right, pairs, names)

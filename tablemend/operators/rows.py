@@ -4,17 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablemend.operators.columns import col
+from tablemend.operators.guards import fail_if, stop_on
 from tablemend.operators.joins import HOT_ROWS, anti_join, left_join
-from tablemend.operators.sets import union_sources
-
-
-def fail_if(condition: Column, message: str) -> Column:
-    """A filter that is TRUE, or stops the job on the first row that meets the condition."""
-    return F.when(condition, F.raise_error(F.lit(message)).cast("boolean")).otherwise(F.lit(True))
 
 
 def duplicate_keys(y: DataFrame, by: Sequence[str]) -> DataFrame:
@@ -54,8 +49,7 @@ def _apply(x, y, by, unmatched, small, check_unique, hot_rows, choose) -> DataFr
         choose(hit, col(c), col(f"__new_{c}").cast(types[c])).alias(c) if c in values else col(c) for c in x.columns
     ])
     if unmatched == "error":
-        stray = unmatched_rows(x, y, by, hot_rows).where(fail_if(F.lit(True), f"patch key ({', '.join(by)}) not in the table"))
-        out = union_sources([out, stray.select(*[F.lit(None).cast(types[c]).alias(c) for c in x.columns])])
+        out = stop_on(out, unmatched_rows(x, y, by, hot_rows), f"patch key ({', '.join(by)}) not in the table")
     return out
 
 

@@ -66,9 +66,10 @@ def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Write the table to the shared work folder and go on from the files.
 
     Steps that read their input twice would otherwise double the plan each time.
-    The files survive the loss of executors.
+    The files survive the loss of executors; they lie in a folder named after the
+    application and may go once its results are stored.
     """
     spark = df.sparkSession
-    path = f"{work_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{work_folder(spark)}/{spark.conf.get('spark.app.id', 'session')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

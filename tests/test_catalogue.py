@@ -294,13 +294,14 @@ def test_every_name_rule(spark):
 
 
 def test_reconcile_appends_patches_and_audits(spark):
+    rules = {label: NAME_RULES[label] for label in ("Wu_2021", "Bai_2022", "Granja_2019", "Krebs_2020")}
     base = catalogue(spark, dict(Study="Wu_2021", Antigen="CD3"), dict(Study="Bai_2022", Antigen="CD4"), dict(Study="Granja_2019", Antigen="CD3 x", TotalSeq_Cat="B"), dict(Study="other", Antigen="q"))
     names = observed(
         spark, dict(Study="Wu_2021", Data_Name="CD3-ACGT"), dict(Study="Bai_2022", Data_Name="ADT-CD8"), dict(Study="Bai_2022", Data_Name="ADT-"),
         dict(Study="Granja_2019", Data_Name="CD3", file="PBMC"), dict(Study="Granja_2019", Data_Name="CD3", file="CD34"),
         dict(Study="Krebs_2020", Data_Name="ADT-CD9"), dict(Study="Krebs_2020", Data_Name="ADT-CD9"))
     base = base.withColumns({"Vendor": F.lit(None).cast("string"), "Isotype_Control": F.lit(True)})
-    out = reconcile(base, names, NAME_RULES)
+    out = reconcile(base, names, rules)
     assert rows(out, "Study", "Antigen", "Data_Name", "Barcode_Sequence", "TotalSeq_Cat", "Vendor", "Isotype_Control") == sorted([
         ("Wu_2021", "CD3", "CD3-ACGT", "ACGT", None, None, True),
         ("Bai_2022", "CD4", None, None, None, None, True),
@@ -309,9 +310,9 @@ def test_reconcile_appends_patches_and_audits(spark):
         ("Krebs_2020", "CD9", "ADT-CD9", None, None, "BioLegend", None),
         ("other", "q", None, None, None, None, True),
     ], key=repr)
-    assert rows(unmatched_keys(base, names, NAME_RULES)) == sorted([
+    assert rows(unmatched_keys(base, names, rules)) == sorted([
         ("Bai_2022", "CD4", "left"), ("Bai_2022", "CD8", "right"), ("Granja_2019", "CD3|A", "right"), ("Krebs_2020", "CD9", "right")], key=repr)
-    assert rows(null_key_matches(base, names, NAME_RULES)) == [("other", 1, 0)]
+    assert rows(null_key_matches(base, names, rules)) == [("other", 1, 0)]
     assert rows(audits.unused_names(out, names.select("Study", "Data_Name"))) == [("Bai_2022", "ADT-")]
 
 
@@ -346,19 +347,14 @@ def test_stages_end_to_end(spark, tmp_path):
         one(spark, Study="Qi_2020", Antigen="CD9", Clone="z", Cat_Number="1", Oligo_ID="9", TotalSeq_Cat="A", Vendor="x", Reactivity="rat"),
     ]
     vocabulary = spark.createDataFrame([("SK3", "0045", "A", "344649", "ACGT")], "Clone string, Oligo_ID string, TotalSeq_Cat string, Cat_Number string, Barcode_Sequence string")
-    built = stages.build_catalogue(tables, specs.catalogue_corrections(spark), vocabulary)
-    assert rows(built, "Study", "Cat_Number") == [("Bai_2022", "344649"), ("Qi_2020", "344649")]
-    annotated = stages.annotate_catalogue(built, aliases(spark, ("CD4", "HGNC:1678", "CD4")), vocabulary)
-    assert rows(annotated, "ID", "ALT_ID", "Oligo_ID") == [("CD4 (T4)__Qi_2020", "HGNC:1678", "0045"), ("CD4__Bai_2022", "HGNC:1678", "0045")]
     seen = observed(spark, dict(Study="Bai_2022", Data_Name="ADT-CD4"), dict(Study="Qi_2020", Data_Name="CD5.1"))
-    named = stages.reconcile_catalogue(annotated, seen, vocabulary)
-    assert rows(named, "ID", "Data_Name") == sorted([("CD4__Bai_2022", "ADT-CD4"), ("CD4 (T4)__Qi_2020", None), ("CD5__Qi_2020", "CD5.1")], key=repr)
-    standard = stages.standardise_catalogue(named)
-    assert rows(standard, "Antigen", "Antigen_std") == sorted([("CD4", "CD4"), ("CD4 (T4)", "CD4"), ("CD5", None)], key=repr)
     known = aliases(spark, ("CD4", "HGNC:1678", "CD4"))
-    stored = stages.run_all(tables, known, seen, str(tmp_path / "out"), specs.catalogue_corrections(spark), vocabulary)
-    assert rows(stored["standard"], "Study", "Antigen", "Data_Name", "Antigen_std") == rows(standard, "Study", "Antigen", "Data_Name", "Antigen_std")
-    assert stored["standard"].where("Study = 'Qi_2020'").count() == 2
+    out = stages.run_all(tables, known, seen, str(tmp_path / "out"), specs.catalogue_corrections(spark), vocabulary)
+    assert rows(out["catalogue"], "Study", "Cat_Number") == [("Bai_2022", "344649"), ("Qi_2020", "344649")]
+    assert rows(out["annotated"], "ID", "ALT_ID", "Oligo_ID") == [("CD4 (T4)__Qi_2020", "HGNC:1678", "0045"), ("CD4__Bai_2022", "HGNC:1678", "0045")]
+    assert rows(out["named"], "ID", "Data_Name") == sorted([("CD4__Bai_2022", "ADT-CD4"), ("CD4 (T4)__Qi_2020", None), ("CD5__Qi_2020", "CD5.1")], key=repr)
+    assert rows(out["standard"], "Antigen", "Antigen_std") == sorted([("CD4", "CD4"), ("CD4 (T4)", "CD4"), ("CD5", None)], key=repr)
+    assert out["standard"].where("Study = 'Qi_2020'").count() == 2
 
 
 def test_union_of_harmonised_sources_conserves_rows(spark):

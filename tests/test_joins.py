@@ -11,7 +11,7 @@ from tablemend.operators import joins as j
 KEY = st.sampled_from(["a", "b", "c", None])
 LEFT = st.lists(st.tuples(KEY, KEY, st.integers(0, 99)), max_size=12)
 RIGHT = st.lists(st.tuples(KEY, KEY, st.integers(100, 199)), max_size=12)
-SLOW = settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SLOW = settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 
 
 def meet(a, b, nulls):
@@ -157,6 +157,10 @@ def test_contract_audit_and_probe(spark):
     r = spark.createDataFrame([("a", 5), ("b", 1)], "k string, v int")
     assert rows(j.repeated_partners(l, r, "k")) == [("a", 2)]
     assert rows(j.conflict_probe(l, r, "k", "v")) == [("a", 2)]
+    with pytest.raises(Exception, match="more than one left row"):
+        j.full_join(l, r.withColumnRenamed("v", "w"), "k", one_to_many=True).collect()
+    once = l.where("v = 1")
+    assert j.full_join(once, r.withColumnRenamed("v", "w"), "k", one_to_many=True).count() == 3
 
 
 def test_membership_flag_is_never_null(spark):

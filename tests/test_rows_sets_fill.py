@@ -12,7 +12,7 @@ from tablemend.operators import rows as r
 from tablemend.plans import audits
 from tablemend.plans.catalogue import fill_from_peers
 
-SLOW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+SLOW = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 KEY = st.sampled_from(["a", "b", None])
 VALUE = st.sampled_from(["x", "y", None])
 TABLE = st.lists(st.tuples(KEY, VALUE, st.integers(0, 3)), max_size=14)
