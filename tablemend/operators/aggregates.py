@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tablemend.functions.nulls import distinct_with_null
 from tablemend.operators.columns import col
-from tablemend.operators.joins import HOT_ROWS, left_join, semi_join
+from tablemend.operators.joins import HOT_ROWS, attach_groups, left_join
 from tablemend.operators.sets import union_sources
 
 
@@ -80,8 +80,7 @@ def conflict_report(df: DataFrame, rules: Sequence[tuple[Sequence[str], str]], h
 
 def groups_where(df: DataFrame, keys: Sequence[str], condition: Column, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All rows of the groups for which an aggregate condition holds."""
-    chosen = df.groupBy(*[col(k) for k in keys]).agg(condition.alias("__keep")).where("__keep").select(*[col(k) for k in keys])
-    return semi_join(df, chosen, list(keys), right_unique=True, hot_rows=hot_rows)
+    return attach_groups(df, keys, {"__keep": condition}, hot_rows=hot_rows).where("__keep").drop("__keep")
 
 
 def repeated_in_group(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -123,7 +122,7 @@ def with_group_size(df: DataFrame, keys: Sequence[str], name: str = "n", hot_row
     Counted by a combined aggregation and joined back: a window would bring all
     rows of a group into one task.
     """
-    return left_join(df, count_by(df, keys, name), list(keys), right_unique=True, hot_rows=hot_rows)
+    return attach_groups(df, keys, {name: F.count(F.lit(1))}, hot_rows=hot_rows)
 
 
 def null_out_ambiguous(df: DataFrame, keys: Sequence[str], columns: Sequence[str], hot_rows: int | None = HOT_ROWS) -> DataFrame:

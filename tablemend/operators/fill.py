@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablemend.operators.columns import col
 from tablemend.operators.guards import fail_if
-from tablemend.operators.joins import HOT_ROWS, hot_keys, key_names, known_small, left_join, mark_hot
+from tablemend.operators.joins import HOT_ROWS, attach_groups, hot_keys, key_names, known_small, mark_hot
 
 
 def fill_down(
@@ -74,24 +74,13 @@ def fill_by_group(
     """
     if multiple not in ("ignore", "error"):
         raise ValueError(f"multiple must be 'ignore' or 'error', not {multiple!r}")
-    some_value = col(columns[0]).isNotNull()
-    for c in columns[1:]:
-        some_value = some_value | col(c).isNotNull()
-    known = (
-        df.dropna(subset=list(group))
-        .where(some_value)
-        .groupBy(*[col(g) for g in group])
-        .agg(
-            *[F.min(col(c)).alias(f"__low_{c}") for c in columns],
-            *[F.max(col(c)).alias(f"__high_{c}") for c in columns],
-        )
-    )
-    if multiple == "error":
-        for c in columns:
-            known = known.where(fail_if(F.col(f"__low_{c}") != F.col(f"__high_{c}"), f"several values of {c} in one group"))
-    known = known.select(
-        *[col(g) for g in group],
-        *[F.when(F.col(f"__low_{c}") == F.col(f"__high_{c}"), F.col(f"__low_{c}")).alias(f"__only_{c}") for c in columns],
-    )
-    joined = left_join(df, known, list(group), nulls="never", right_unique=True, hot_rows=hot_rows)
-    return joined.withColumns({c: F.coalesce(col(c), F.col(f"__only_{c}")) for c in columns}).select(*[col(c) for c in df.columns])
+    bounds = {}
+    for c in columns:
+        bounds[f"__low_{c}"], bounds[f"__high_{c}"] = F.min(col(c)), F.max(col(c))
+    joined = attach_groups(df, list(group), bounds, nulls="never", hot_rows=hot_rows)
+    for c in columns:
+        low, high = col(f"__low_{c}"), col(f"__high_{c}")
+        if multiple == "error":
+            joined = joined.where(fail_if(low != high, f"several values of {c} in one group"))
+        joined = joined.withColumn(c, F.coalesce(col(c), F.when(low == high, low)))
+    return joined.select(*[col(c) for c in df.columns])

@@ -21,7 +21,7 @@ a small left one.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -223,12 +223,15 @@ def left_join(
     small: bool = False,
     right_unique: bool = False,
     hot_rows: int | None = HOT_ROWS,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Every left row with the matching right rows, or NULLs.
 
     ``nulls='match'`` lets a NULL key meet a NULL key. Right columns whose name
     the left table already has get ``suffix``. ``small`` says the right rows are
-    written out in a program, so they may be broadcast.
+    written out in a program, so they may be broadcast. ``counted`` is a table with
+    the same key values as the left one that is cheaper to count hot keys in, such
+    as the left table before other columns were joined to it.
     """
     pairs = key_pairs(on)
     names = _payload(left, right, [r for _, r in pairs], suffix)
@@ -236,10 +239,56 @@ def left_join(
     side = _right_side(right, pairs, names)
     if small:
         side, hot_rows = F.broadcast(side), None
-    joined = _left_keyed(keyed, side, len(pairs), nulls, hot_rows, right_unique)
+    if counted is not None:
+        counted = _with_keys(counted, [col(l) for l, _ in pairs])
+    joined = _left_keyed(keyed, side, len(pairs), nulls, hot_rows, right_unique, counted)
     return joined.select(*[col(c) for c in left.columns], *[col(c) for c in names.values()])
 
 
+def attach_groups(
+    df: DataFrame,
+    keys: Sequence[str],
+    aggregates: Mapping[str, Column],
+    nulls: str = "match",
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """Add aggregates of the row's own group, without bringing a group together.
+
+    The groups are summed up once, combined on the map side. Summaries of groups
+    with more than ``hot_rows`` rows are few enough to broadcast; the others are
+    joined by key. With ``nulls='never'`` rows with a NULL key have no group.
+    """
+    names = key_names(len(keys))
+    keyed = _with_keys(df, [col(k) for k in keys])
+    grouped = keyed if nulls == "match" else keyed.dropna(subset=names)
+    summary = grouped.groupBy(*names).agg(
+        F.count(F.lit(1)).alias("__size"), *[a.alias(f"__agg_{n}") for n, a in aggregates.items()]
+    )
+    values = [f"__agg_{n}" for n in aggregates]
+
+    def side(groups: DataFrame, mark: str) -> DataFrame:
+        return groups.select(
+            *[F.col(k).alias(f"{k}{mark}") for k in names], F.lit(0).alias(f"__sub{mark}"), *[F.col(v).alias(f"{v}{mark}") for v in values]
+        )
+
+    def meeting(mark: str) -> Column:
+        return _all_equal([(F.col(k), F.col(f"{k}{mark}")) for k in names], nulls)
+
+    if hot_rows is None or known_small(summary):
+        joined = keyed.join(side(summary, "_all"), meeting("_all"), "left")
+        value = {n: F.col(f"__agg_{n}_all") for n in aggregates}
+    else:
+        hot, rest = side(summary.where(F.col("__size") > hot_rows), "_hot"), side(summary.where(F.col("__size") <= hot_rows), "_rest")
+        marked = keyed.join(F.broadcast(hot), meeting("_hot"), "left")
+        done = F.col("__sub_hot").isNotNull()
+        done = done if nulls == "match" else done | _any_null(names)
+        # Finished rows wait for no partner, so they stay where they are read.
+        marked = marked.withColumn("__sub", F.when(done, F.spark_partition_id() + 1).otherwise(F.lit(0)))
+        joined = marked.join(rest, meeting("_rest") & (F.col("__sub") == F.col("__sub_rest")), "left")
+        value = {n: F.coalesce(F.col(f"__agg_{n}_hot"), F.col(f"__agg_{n}_rest")) for n in aggregates}
+    return joined.select(*[col(c) for c in df.columns], *[v.alias(n) for n, v in value.items()])
+
+
 def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small: bool, hot_rows: int | None, right_unique: bool = False) -> DataFrame:
     pairs = key_pairs(on)
     keyed = _with_keys(left, [col(l) for l, _ in pairs])

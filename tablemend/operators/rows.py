@@ -32,7 +32,7 @@ def unique_keys(y: DataFrame, by: Sequence[str]) -> DataFrame:
     return checked.select(*[col(b) for b in by], *[F.col("__v")[c].alias(c) for c in values])
 
 
-def _apply(x, y, by, unmatched, small, check_unique, hot_rows, choose) -> DataFrame:
+def _apply(x, y, by, unmatched, small, check_unique, hot_rows, counted, choose) -> DataFrame:
     if unmatched not in ("ignore", "error"):
         raise ValueError(f"unmatched must be 'ignore' or 'error', not {unmatched!r}")
     by = list(by)
@@ -42,7 +42,7 @@ def _apply(x, y, by, unmatched, small, check_unique, hot_rows, choose) -> DataFr
         raise ValueError(f"patch columns {absent} are not in the table" if absent else "the patch sets no column")
     patch = unique_keys(y, by) if check_unique else y
     patch = patch.select(*[col(b) for b in by], *[col(c).alias(f"__new_{c}") for c in values], F.lit(True).alias("__patched"))
-    joined = left_join(x, patch, by, small=small, right_unique=True, hot_rows=hot_rows)
+    joined = left_join(x, patch, by, small=small, right_unique=True, hot_rows=hot_rows, counted=counted)
     types = dict(x.dtypes)
     hit = F.coalesce(F.col("__patched"), F.lit(False))
     out = joined.select(*[
@@ -53,23 +53,33 @@ def _apply(x, y, by, unmatched, small, check_unique, hot_rows, choose) -> DataFr
     return out
 
 
-def rows_update(x, y, by: Sequence[str], unmatched: str = "ignore", small: bool = False, check_unique: bool = True, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def rows_update(
+    x, y, by: Sequence[str], unmatched: str = "ignore", small: bool = False, check_unique: bool = True,
+    hot_rows: int | None = HOT_ROWS, counted: DataFrame | None = None,
+) -> DataFrame:
     """Overwrite the patched columns in matching rows, also with NULL; a NULL key meets a NULL key.
 
     Rows without a patch and the number of rows stay as they are. A patch row
     without a target is skipped (see ``unmatched_rows``) or, with
     ``unmatched='error'``, stops the job.
     """
-    return _apply(x, y, by, unmatched, small, check_unique, hot_rows, lambda hit, old, new: F.when(hit, new).otherwise(old))
+    return _apply(x, y, by, unmatched, small, check_unique, hot_rows, counted, lambda hit, old, new: F.when(hit, new).otherwise(old))
 
 
-def rows_patch(x, y, by: Sequence[str], unmatched: str = "ignore", small: bool = False, check_unique: bool = True, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def rows_patch(
+    x, y, by: Sequence[str], unmatched: str = "ignore", small: bool = False, check_unique: bool = True,
+    hot_rows: int | None = HOT_ROWS, counted: DataFrame | None = None,
+) -> DataFrame:
     """Like ``rows_update``, but only fills values that are NULL."""
-    return _apply(x, y, by, unmatched, small, check_unique, hot_rows, lambda hit, old, new: F.coalesce(old, new))
+    return _apply(x, y, by, unmatched, small, check_unique, hot_rows, counted, lambda hit, old, new: F.coalesce(old, new))
 
 
 def apply_corrections(x: DataFrame, corrections: Sequence[tuple[DataFrame, Sequence[str]]], small: bool = False, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Updates applied in order, each with its own key; later ones see earlier results."""
+    start, changed = x, set()
     for patch, by in corrections:
-        x = rows_update(x, patch, by, small=small, hot_rows=hot_rows)
+        # Key columns no earlier update touched are counted in the table as it came.
+        counted = None if changed & set(by) else start
+        x = rows_update(x, patch, by, small=small, hot_rows=hot_rows, counted=counted)
+        changed |= set(patch.columns) - set(by)
     return x

@@ -233,7 +233,8 @@ def merge_back(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Reconciled fragments plus the catalogue rows they do not cover, with fresh ids and clean texts."""
-    combined = union_sources(fragments)
+    # Read twice below: as rows, and for the keys it covers.
+    combined = cut_lineage(union_sources(fragments), "fragments")
     if "Data_Name" in combined.columns:
         combined = combined.withColumn("Antigen", F.coalesce(col("Antigen"), col("Data_Name")))
     merged = upsert_union(combined, catalogue, key, hot_rows)
@@ -261,7 +262,7 @@ def standardise_names(
     voted = left_join(counts, elected, list(identity), nulls="never", right_unique=True, hot_rows=hot_rows)
     peers = elect(voted, [name, label], standard, "__peer", weight="__n_rows")
     named = left_join(catalogue, elected, list(identity), nulls="never", right_unique=True, hot_rows=hot_rows)
-    filled = left_join(named, peers, [name, label], right_unique=True, hot_rows=hot_rows)
+    filled = left_join(named, peers, [name, label], right_unique=True, hot_rows=hot_rows, counted=catalogue)
     return filled.withColumn(standard, F.coalesce(col(standard), col("__peer"))).drop("__peer")
 
 
