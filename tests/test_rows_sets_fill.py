@@ -150,6 +150,24 @@ def test_group_reports(spark):
         [("a", None, 1), ("a", None, 1), ("a", "x", 2), ("b", None, 1), ("b", None, 2)], key=repr)
 
 
+@pytest.mark.parametrize("hot_rows", [None, 1])
+def test_groups_with_and_without_hot_ones(no_broadcast, spark, hot_rows):
+    data = [("a", "x", 1), ("a", None, 1), ("a", "x", 2), ("b", "y", 1), (None, "z", 5), (None, "z", 6)]
+    df = table(spark, data)
+    size = {"a": 3, "b": 1, None: 2}
+    assert rows(a.with_group_size(df, ["k"], hot_rows=hot_rows)) == sorted([(*d, size[d[0]]) for d in data], key=repr)
+    several = a.groups_where(df, ["k"], F.count(F.lit(1)) > 1, hot_rows)
+    assert rows(several) == sorted([d for d in data if d[0] != "b"], key=repr)
+    assert rows(a.null_out_ambiguous(df, ["k"], ["c"], hot_rows)) == sorted([(k, c if k == "b" else None, i) for k, c, i in data], key=repr)
+
+
+def test_group_summary_is_computed_once(no_broadcast, spark, tmp_path):
+    path = str(tmp_path / "t")
+    table(spark, [("a", "x", 1), ("b", "y", 2)]).write.parquet(path)
+    plan = fill.fill_by_group(spark.read.parquet(path), ["k"], ["c"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 3 and "NestedLoop" not in plan
+
+
 def test_election_breaks_ties_by_preference_then_name(spark):
     df = spark.createDataFrame([("g", "b"), ("g", "a"), ("h", "q"), ("h", "q"), ("h", "p"), ("i", None)], "k string, n string")
     assert rows(a.elect(df, ["k"], "n", "std")) == [("g", "a"), ("h", "q")]
