@@ -9,6 +9,7 @@ import pytest
 from conftest import TABLES
 
 import __spark_entry__ as entry_point
+from tablemend import queries as registered
 from tools.check_queries import rows_of
 
 pytestmark = pytest.mark.skipif(not Path(TABLES).exists(), reason="no test tables")
@@ -22,10 +23,10 @@ def sql_tables():
     return db
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.queries()))
+@pytest.mark.parametrize("name", sorted(registered.queries()))
 def test_query_equals_sql(spark, sql_tables, name):
-    df = entry_point.queries()[name](spark, TABLES)
-    cursor = sql_tables.execute(entry_point.oracle_sql()[name])
+    df = registered.queries()[name](spark, TABLES)
+    cursor = sql_tables.execute(registered.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     assert sorted(df.columns) == sorted(names)
     assert rows_of(df.columns, df.collect()) == rows_of(names, cursor.fetchall())
@@ -36,4 +37,5 @@ def test_entry(spark):
 
 
 def test_names_are_plain():
-    assert all("pipeline" not in n and not n.startswith("op") for n in entry_point.queries())
+    assert all("pipeline" not in n and not n.startswith("op") for n in registered.queries())
+    assert registered.queries().keys() <= entry_point.queries().keys()
