@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,7 +59,7 @@ def regrouped(batches: Iterator[pa.RecordBatch], column: str, most_bytes: int =
     """Cut batches so that a text column has at most so many bytes in each (one longer text stays alone)."""
     for batch in batches:
         col = batch.column(batch.schema.get_field_index(column))
-        size = np.cumsum(np.asarray(pa.compute.fill_null(pa.compute.binary_length(col), 0), dtype=np.int64))
+        size = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(col), 0), dtype=np.int64))
         at = 0
         while at < batch.num_rows:
             before = size[at - 1] if at else 0

@@ -7,18 +7,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import chat, sharding, warc
+from tablemend.llm import chat, packing, sharding, simhash, substring_dedup, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path() -> str:
+    """The public tokenizer file of the contract."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents without the words of windows that start earlier elsewhere."""
+    kept = substring_dedup.deduplicated(_table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in shards 0 to 23 by fixed virtual slots."""
     return sharding.shard_documents(_table(spark, folder, "documents"))
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents as token pieces in sequences of 1024."""
+    return packing.packed(_table(spark, folder, "documents"), tokenizer_path())
+
+
+def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Fingerprint and near-duplicate component of every document."""
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
 def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages written to archives and read back as chunk rows."""
     return warc.page_records(warc.archived(_table(spark, folder, "pages")))
@@ -34,7 +57,7 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_sharding, op9_warc, op10_chat)}
+    return {f.__name__: f for f in (op1_substring_dedup, op4_sharding, op5_packing, op8_simhash, op9_warc, op10_chat)}
 
 
 def oracle_sql() -> dict[str, str]:
