@@ -4,10 +4,39 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablemend.llm import decontamination, packing, secret_scan, simhash, toxicity
 from tablemend.llm.common import stored
+from tablemend.llm.queries import tokenizer_path
 
-STAGES: list = []
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier takes for toxic go."""
+    return toxicity.without_toxic(docs, toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies one document stays, that with the smallest id."""
+    return simhash.without_copies(docs)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a test item go."""
+    return decontamination.without_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents stay; their secrets are masked."""
+    return secret_scan.masked(docs)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences."""
+    return packing.packed(docs, tokenizer_path())
+
+
+STAGES = [("toxicity", drop_toxic), ("near_dedup", drop_copies), ("decontamination", drop_leaks), ("secrets", mask_secrets), ("packing", pack)]
+
+#: No stage can be told to DuckDB; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import chat, packing, sharding, simhash, substring_dedup, warc
+from tablemend.llm import ann, chat, decontamination, packing, secret_scan, sharding, simhash, substring_dedup, toxicity, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -27,6 +27,17 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """A toxicity score for every document, learned from the labels outside the held-out fold."""
+    documents = _table(spark, folder, "documents")
+    return toxicity.scored(documents, toxicity.fit(documents, _table(spark, folder, "labels")))
+
+
+def op3_ann(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 nearest vectors of every vector whose id is divisible by 20."""
+    return ann.search(_table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op4_sharding(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in shards 0 to 23 by fixed virtual slots."""
     return sharding.shard_documents(_table(spark, folder, "documents"))
@@ -37,6 +48,16 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.packed(_table(spark, folder, "documents"), tokenizer_path())
 
 
+def op6_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document and test item that occurs in it, exactly or with edits."""
+    return decontamination.matched(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op7_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Spans of secrets in every document."""
+    return secret_scan.digests(secret_scan.scanned(_table(spark, folder, "documents")))
+
+
 def op8_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(_table(spark, folder, "documents"))
@@ -57,8 +78,12 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_substring_dedup, op4_sharding, op5_packing, op8_simhash, op9_warc, op10_chat)}
+    found = (
+        op1_substring_dedup, op2_toxicity, op3_ann, op4_sharding, op5_packing, op6_decontamination, op7_secret_scan, op8_simhash, op9_warc, op10_chat,
+    )
+    return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
+    """None of the ten can be told to DuckDB: they need XXH64, CRC-32, edit distances, fitted models or files."""
     return {}

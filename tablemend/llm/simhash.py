@@ -251,13 +251,41 @@ def links(distinct: DataFrame, radius: int = RADIUS, bucket: int = BUCKET) -> Da
     return small.unionByName(paired.groupBy("key", "low", "high").applyInArrow(compare, "a long, b long"))
 
 
+def _component_of(rows: DataFrame, radius: int) -> DataFrame:
+    """(b, component): every distinct fingerprint of stored rows and the fingerprint that names its component."""
+    distinct = stored(rows.select("bits").distinct(), "distinct-fingerprints")
+    groups = components(links(distinct, radius))
+    return distinct.join(groups, distinct["bits"] == groups["node"], "left").select(F.col("bits").alias("b"), F.coalesce("component", "bits").alias("component"))
+
+
 def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
     """doc_id, fingerprint (16 hexadecimal digits) and component_id (the smallest doc_id reachable) of each document."""
     rows = stored(fingerprints(documents, shingle), "fingerprints")
-    distinct = stored(rows.groupBy("bits").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    groups = components(links(distinct, radius))
-    of = distinct.join(groups, distinct["bits"] == groups["node"], "left").select("bits", "least", F.coalesce("component", "bits").alias("component"))
+    least = rows.groupBy(F.col("bits").alias("own")).agg(F.min("doc_id").alias("least"))
+    of = _component_of(rows, radius).join(least, F.col("b") == F.col("own")).select("b", "component", "least")
     smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = of.join(smallest, "component").select(F.col("bits").alias("b"), "component_id")
-    met = rows.join(named, F.col("bits") == F.col("b"))
+    met = rows.join(of.join(smallest, "component").select("b", "component_id"), F.col("bits") == F.col("b"))
     return met.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_copies(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each component: that with the smallest doc_id (NULL last); columns stay as they are.
+
+    Of rows that repeat this doc_id the one with the smallest hash of its text stays, of equal rows one.
+    """
+    names = documents.columns
+
+    def marked(df: DataFrame) -> DataFrame:
+        return df.withColumn("__mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regrouped(batches, "text"):
+            bits = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bits)], ["doc_id", "mark", "bits"])
+
+    rows = stored(marked(documents).select("doc_id", "text", "__mark").mapInArrow(run, "doc_id long, mark long, bits long"), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("mark"))
+    first = rows.groupBy("bits").agg(F.min(key).alias("key")).join(_component_of(rows, radius), F.col("bits") == F.col("b")).groupBy("component").agg(F.min("key").alias("key"))
+    chosen = first.select(F.col("key.doc_id").alias("__id"), F.col("key.mark").alias("__chosen"))
+    kept = marked(documents).join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__chosen")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__mark"]).select(*names)
