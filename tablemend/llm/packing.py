@@ -21,6 +21,7 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ from tablemend.llm.common import ints, regrouped, stored
 LENGTH = 1024
 END_ID = 2
 LANE_ROWS = 100_000
-#: Chunks that a worker remembers; beyond it, it starts afresh.
-CACHED = 300_000
+#: Chunks that a worker remembers (some 200 MB); beyond it, the older half goes.
+CACHED = 1_000_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: A space before white space or the end; texts without one can be cut before every space.
 _LOOSE = re.compile(r" (?:[\s\x1c-\x1f]|\Z)")
@@ -67,9 +68,10 @@ class Encoder:
         whole = [bool(_LOOSE.search(t)) or any(s in t for s in self.special) for t in texts]
         cut = [None if w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
         wanted = set().union(*(c[1:] for c in cut if c))
-        missing = list(wanted - self.known.keys())
+        missing = [c for c in wanted if c not in self.known]
         if len(self.known) + len(missing) > CACHED:
-            self.known, missing = {}, list(wanted)
+            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
+            missing = [c for c in wanted if c not in self.known]
         self.known.update(zip(missing, self.encode([" " + c for c in missing]), strict=True))
         first = iter(self.encode([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
         for c in cut:
