@@ -181,13 +181,16 @@ def annotate(
     """Attach identifiers by looking up spellings of each name.
 
     The lookup runs once per distinct name, not per row. Several hits are listed
-    in one text per column. Identifiers from an earlier run are dropped first.
+    in one text per column. Controls get no identifiers, also where another row
+    has their name. Identifiers from an earlier run are dropped first.
     """
     base = c.drop(catalogue, id_columns, absent="ignore")
     spellings = name_variants(base.withColumn("__key", col(name)), "__key", name, control, variants)
     hits = search_aliases(spellings, aliases.select("value", *[col(i) for i in id_columns]), hot_rows)
     found = collapse_groups(hits, ["__key"], id_columns)
-    return left_join(base, found, [(name, "__key")], nulls="never", right_unique=True, hot_rows=hot_rows)
+    looked_up = col(name) if control is None else F.when(~F.coalesce(col(control), F.lit(False)), col(name))
+    named = left_join(base.withColumn("__name", looked_up), found, [("__name", "__key")], nulls="never", right_unique=True, hot_rows=hot_rows)
+    return named.drop("__name")
 
 
 PEER_RULES = (
@@ -210,16 +213,18 @@ def fill_from_peers(
     held_out: Column | None = None,
     multiple: str = "ignore",
     hot_rows: int | None = HOT_ROWS,
+    store: bool = False,
 ) -> DataFrame:
     """Fill gaps from rows that share a key, one rule after the other; later rules see earlier fills.
 
     ``held_out`` rows neither give nor get values. Every rule reads its input
-    twice, so the table is written out between rules.
+    twice; with ``store`` the table is written out between rules, so that the
+    plan does not double.
     """
     hold = F.coalesce(held_out, F.lit(False)) if held_out is not None else F.lit(False)
     rest = catalogue.where(~hold)
     for number, (group, columns) in enumerate(rules):
-        if number:
+        if number and store:
             rest = cut_lineage(rest, "peers")
         rest = fill_by_group(rest, group, columns, multiple, hot_rows)
     return rest if held_out is None else union_sources([rest, catalogue.where(hold)])
@@ -231,10 +236,15 @@ def merge_back(
     key: Sequence[str] = ("ID",),
     id_parts: Sequence[str] = ("Antigen", "Study"),
     hot_rows: int | None = HOT_ROWS,
+    store: bool = False,
 ) -> DataFrame:
-    """Reconciled fragments plus the catalogue rows they do not cover, with fresh ids and clean texts."""
-    # Read twice below: as rows, and for the keys it covers.
-    combined = cut_lineage(union_sources(fragments), "fragments")
+    """Reconciled fragments plus the catalogue rows they do not cover, with fresh ids and clean texts.
+
+    The fragments are read twice, as rows and for the keys they cover; ``store`` writes them out before.
+    """
+    combined = union_sources(fragments)
+    if store:
+        combined = cut_lineage(combined, "fragments")
     if "Data_Name" in combined.columns:
         combined = combined.withColumn("Antigen", F.coalesce(col("Antigen"), col("Data_Name")))
     merged = upsert_union(combined, catalogue, key, hot_rows)

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablemend.operators import columns as c
 from tablemend.operators.aggregates import count_by, null_out_ambiguous
 from tablemend.operators.columns import col
-from tablemend.operators.joins import HOT_ROWS, match_cascade, unused_rows
+from tablemend.operators.joins import HOT_ROWS, left_join, match_cascade, semi_join, unused_rows
 from tablemend.operators.sets import one_sided, union_sources
 from tablemend.sources.tables import cut_lineage
 
@@ -146,7 +146,8 @@ def reconcile(
         return matched
     # The label is a key of every pass, so sources that append can be looked at alone.
     open_names, open_rows = (t.where(col(LABEL).isin(list(appending))) for t in (names, base))
-    rest = unused_rows(open_rows, open_names, passes, [*carry, NAME], hot_rows=hot_rows)
+    # Used or not is a matter of the observed row: another source may have matched the same name.
+    rest = unused_rows(open_rows, open_names, passes, [LABEL, *key_names, *carry, NAME], hot_rows=hot_rows)
     item = {"key": lambda: col("__key1"), "name": lambda: col(NAME)}
     rest = rest.withColumn(ITEM, _per_label({label: item.get(r.append, r.append)() for label, r in appending.items()}))
     constants = _unique([k for r in appending.values() for k in r.constants])
@@ -194,7 +195,8 @@ def merge_indistinct(
 def observed_names(names: DataFrame, accessions: DataFrame, accession: str = "accession", name: str = "data_name") -> DataFrame:
     """(Study, Data_Name, file) from names per accession and the accession of each source."""
     pairs = accessions.select(col("Study").alias(LABEL), col("Accession").alias(accession)).distinct()
-    return names.join(pairs, accession).withColumnRenamed(name, NAME)
+    known = semi_join(names, pairs, accession, nulls="never")
+    return left_join(known, pairs, accession, nulls="never").withColumnRenamed(name, NAME)
 
 
 # How a file name tells the accession, tried in this order, and a wrong accession in the list of papers.

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tablemend.functions import text as x
 from tablemend.functions.nulls import matches
 from tablemend.operators import columns as c
+from tablemend.operators.fill import fill_down
 from tablemend.operators.sets import union_sources
 from tablemend.plans import audits
 from tablemend.plans import catalogue as cat
@@ -328,3 +329,50 @@ def _order_catalogue(t):
     )
     halves = [raw.where(s == "F"), raw.where(s != "F")]
     return cat.unify(halves)
+
+
+@query("q74_shared_names", """
+WITH c AS (SELECT p_partkey, CASE WHEN p_size <= 25 THEN 'a' ELSE 'b' END AS study, p_name, p_type FROM part),
+o AS (SELECT DISTINCT study, p_name, p_type FROM part CROSS JOIN (VALUES ('a'), ('b')) v(study))
+SELECT p_partkey, coalesce(c.study, o.study) AS "Study", coalesce(c.p_name, o.p_name) AS "Antigen", o.p_name AS "Data_Name",
+       coalesce(c.p_type, o.p_type) AS "TotalSeq_Cat"
+FROM c FULL JOIN o ON c.study = o.study AND c.p_name = o.p_name AND c.p_type = o.p_type
+""")
+def shared_names(t):
+    """Both sources have seen all names in all categories: what one has matched is still new to the other."""
+    study = F.when(F.col("p_size") <= 25, "a").otherwise("b")
+    catalogue = t.part.select("p_partkey", study.alias("Study"), F.col("p_name").alias("Antigen"), F.col("p_type").alias("TotalSeq_Cat"))
+    observed = t.part.select(F.explode(F.array(F.lit("a"), F.lit("b"))).alias("Study"), F.col("p_name").alias("Data_Name"), F.col("p_type").alias("kind"))
+    rule = NameRule(
+        keys=[(lambda: F.concat_ws("|", "Antigen", "TotalSeq_Cat"), lambda: F.concat_ws("|", "Data_Name", "kind"))],
+        fields={"TotalSeq_Cat": lambda: F.col("kind")}, append="name",
+    )
+    return reconcile(catalogue, observed, {"a": rule, "b": rule}).select("p_partkey", "Study", "Antigen", "Data_Name", "TotalSeq_Cat")
+
+
+@query("q75_annotate_controls", """
+WITH d AS (SELECT p_name, string_agg(DISTINCT p_type, ', ' ORDER BY p_type) AS "ALT_ID" FROM part GROUP BY 1),
+looked AS (SELECT DISTINCT p_name FROM part WHERE p_size >= 10)
+SELECT p_partkey, p.p_name AS "Antigen", p_size < 10 AS "Isotype_Control", CASE WHEN p_size >= 10 THEN "ALT_ID" END AS "ALT_ID"
+FROM part p LEFT JOIN d ON p.p_name = d.p_name
+""")
+def annotate_controls(t):
+    """The default spellings; a name that is a control in one row gets no identifier there, but in the others."""
+    catalogue = t.part.select("p_partkey", F.col("p_name").alias("Antigen"), (F.col("p_size") < 10).alias("Isotype_Control"))
+    aliases = t.part.select(F.upper(F.regexp_replace("p_name", "[ _-]", "")).alias("value"), F.col("p_type").alias("ALT_ID")).distinct()
+    return cat.annotate(catalogue, aliases, id_columns=["ALT_ID"])
+
+
+@query("q76_fill_down_null_order", """
+SELECT event_id, user_id, last_value(known IGNORE NULLS) OVER (
+         PARTITION BY user_id ORDER BY ts2 NULLS FIRST, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS known
+FROM (SELECT event_id, user_id, CASE WHEN event_id % 7 <> 0 THEN event_id // 100 END AS ts2,
+             CASE WHEN event_id % 5 = 0 THEN event_id END AS known FROM events)
+""")
+def fill_down_null_order(t):
+    """Rows whose order is NULL come first and hand their last value on, also where groups are cut."""
+    place = F.when(F.col("event_id") % 7 != 0, F.floor(F.col("event_id") / 100).cast("long"))
+    known = F.when(F.col("event_id") % 5 == 0, F.col("event_id"))
+    events = t.events.select("event_id", "user_id", place.alias("place"), known.alias("known"))
+    filled = fill_down(events, ["known"], ["user_id"], ["place", "event_id"], F.floor(F.col("place") / 7), hot_rows=20)
+    return filled.select("event_id", "user_id", "known")

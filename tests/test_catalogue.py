@@ -10,6 +10,7 @@ from tablemend.plans import catalogue as cat
 from tablemend.plans import source_specs as specs
 from tablemend.plans.name_rules import FEATURE_LABELS, NAME_RULES, panel_names, portal_names
 from tablemend.plans.reconcile import (
+    NameRule,
     accession_list, accession_of_file, merge_indistinct, null_key_matches, observed_names, reconcile, unmatched_keys,
 )
 from tablemend.plans.spec import SourceSpec, Split, harmonise
@@ -307,6 +308,7 @@ def test_reconcile_appends_patches_and_audits(spark):
         ("Bai_2022", "CD4", None, None, None, None, True),
         ("Bai_2022", "CD8", "ADT-CD8", None, None, "BioLegend", False),
         ("Granja_2019", "CD3 x", "CD3", None, "B", None, True),
+        ("Granja_2019", "CD3", "CD3", None, "A", None, None),
         ("Krebs_2020", "CD9", "ADT-CD9", None, None, "BioLegend", None),
         ("other", "q", None, None, None, None, True),
     ], key=repr)
@@ -316,6 +318,21 @@ def test_reconcile_appends_patches_and_audits(spark):
     assert rows(audits.unused_names(out, names.select("Study", "Data_Name"))) == [("Bai_2022", "ADT-")]
 
 
+def test_reconcile_keeps_every_observed_row(spark):
+    """A name matched in one source, or in one category, is still new elsewhere."""
+    rule = NameRule(append="key")
+    base = catalogue(spark, dict(Study="A", Antigen="CD3"), dict(Study="B", Antigen="CD9"))
+    names = observed(spark, dict(Study="A", Data_Name="CD3"), dict(Study="B", Data_Name="CD3"), dict(Study="B", Data_Name="CD9"))
+    out = reconcile(base, names, {"A": rule, "B": rule})
+    assert rows(out, "Study", "Antigen", "Data_Name") == [("A", "CD3", "CD3"), ("B", "CD3", "CD3"), ("B", "CD9", "CD9")]
+
+
+def test_a_control_gets_no_identifier(spark):
+    base = spark.createDataFrame([("CD8", "s1", True), ("CD8", "s2", False), ("CD8", "s3", None)], "Antigen string, Study string, Isotype_Control boolean")
+    aliases = spark.createDataFrame([("CD8", "h1")], "value string, ALT_ID string")
+    assert rows(cat.annotate(base, aliases, id_columns=["ALT_ID"]), "Study", "ALT_ID") == [("s1", None), ("s2", "h1"), ("s3", "h1")]
+
+
 def test_observed_names_by_accession(spark):
     paths = ["x/features_GSE1-a.rds", "p_E-MTAB-123-b", "d/features_10x_10x24July2019-2_x", "none"]
     df = spark.createDataFrame([(p,) for p in paths], "p string")
