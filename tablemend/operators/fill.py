@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tablemend.operators.columns import col
 from tablemend.operators.guards import fail_if
-from tablemend.operators.joins import HOT_ROWS, attach_groups, hot_keys, key_names, known_small, mark_hot
+from tablemend.operators.joins import HOT_ROWS, attach_groups, hot_keys, key_names, mark_hot
 
 
 def fill_down(
@@ -24,7 +24,7 @@ def fill_down(
 
     ``chunk`` says how to cut a group with more than ``hot_rows`` rows into ordered
     pieces: a function of ``order`` that never falls, such as the minute of a time
-    stamp. Each piece is filled on its own, and the value to start with comes from
+    stamp, and NULL only for the rows that sort first. Each piece is filled on its own, and the value to start with comes from
     a small table with one row per piece, so no task holds a whole hot group.
     Without ``chunk`` every group is sorted in one task: only for groups known to
     be small, such as the rows of one short file.
@@ -33,26 +33,27 @@ def fill_down(
     ordering = [col(o) for o in order]
     if not keys:
         raise ValueError("fill_down needs a group; without one all rows would meet in one task")
-    if chunk is None or hot_rows is None or known_small(df):
+    if chunk is None or hot_rows is None:
         window = Window.partitionBy(*keys).orderBy(*ordering).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumns({c: F.last(col(c), ignorenulls=True).over(window) for c in columns})
 
     named = key_names(len(keys))
     keyed = df.withColumns(dict(zip(named, keys)))
     marked = mark_hot(keyed, hot_keys(named, hot_rows, __parts=keyed), named, ["__parts"]).drop(*named)
-    cut = marked.withColumn("__piece", F.when(F.col("__parts") > 1, chunk)).drop("__parts")
+    # Being hot is a column of its own: a NULL piece holds the rows whose order is NULL, which sort first.
+    cut = marked.withColumns({"__hot": F.col("__parts") > 1, "__piece": F.when(F.col("__parts") > 1, chunk)}).drop("__parts")
     position = F.struct(*ordering)
-    tails = cut.where(F.col("__piece").isNotNull()).groupBy(*keys, "__piece").agg(
+    tails = cut.where("__hot").groupBy(*keys, "__hot", "__piece").agg(
         *[F.max_by(col(c), F.when(col(c).isNotNull(), position)).alias(f"__tail_{c}") for c in columns]
     )
     before = Window.partitionBy(*keys).orderBy("__piece").rowsBetween(Window.unboundedPreceding, -1)
     starts = tails.select(
-        *keys, "__piece", *[F.last(F.col(f"__tail_{c}"), ignorenulls=True).over(before).alias(c) for c in columns]
+        *keys, "__hot", "__piece", *[F.last(F.col(f"__tail_{c}"), ignorenulls=True).over(before).alias(c) for c in columns]
     )
     # The start of a piece is one more row that sorts first: one shuffle, no join back.
     rows = cut.withColumn("__row", F.lit(1)).unionByName(starts.withColumn("__row", F.lit(0)), allowMissingColumns=True)
     inside = (
-        Window.partitionBy(*keys, "__piece").orderBy("__row", *ordering).rowsBetween(Window.unboundedPreceding, 0)
+        Window.partitionBy(*keys, "__hot", "__piece").orderBy("__row", *ordering).rowsBetween(Window.unboundedPreceding, 0)
     )
     filled = rows.withColumns({c: F.last(col(c), ignorenulls=True).over(inside) for c in columns})
     return filled.where("__row = 1").select(*[col(c) for c in df.columns])

@@ -1,21 +1,23 @@
 """Equi-joins with a stated NULL rule that survive hot keys.
 
 Every join here is an equi-join, so Spark hashes or sorts; none falls back to a
-nested loop. No side is broadcast by hint except the list of hot keys, whose
-length is bounded by (rows / ``hot_rows``), and tables the caller declares
+nested loop. No side is broadcast by hint except the list of hot keys, which
+has at most ``HOT_KEYS`` entries, and tables the caller declares
 ``small`` because their rows are written out in a program. All other sides are
 left to Spark, which broadcasts by measured size and shuffles beyond it.
 
 Hot keys. ``hot_rows`` is the number of rows of one key that a single task may
-hold. Keys above it are found by a map-side combined count of the key columns and
-cut into rows / ``hot_rows`` sub-keys; the rows of the other side with that key
-are repeated once per sub-key. The result is the same with or without this, so
-the threshold only moves work. A row's sub-key is the number of the task that
-reads it: this spreads copies of one row too, needs no other column, and stays
-the same when a lost task runs again. Where the plan statistics say that a side
-is below Spark's own broadcast limit, Spark needs no shuffle on that account and
-the count is left out; a large right side is then first reduced to the keys of
-a small left one.
+hold. Keys above it, the ``HOT_KEYS`` largest at most, are found by a map-side
+combined count of the key columns and cut into rows / ``hot_rows`` sub-keys; the
+rows of the other side with that key are repeated once per sub-key. The result is
+the same with or without this, so the threshold only moves work. A row's sub-key
+is a hash of its position in a scan, or, behind a shuffle, where positions may change
+when a lost task runs again, a hash of its columns plus the number of its task: rows
+spread whatever the input is partitioned by. Only copies of one row that an earlier
+shuffle has brought into one task stay together. Where a side
+surely is below Spark's own broadcast limit, Spark needs no shuffle on that account
+and the count is left out; a large right side is then first reduced to the keys of
+a small left one, by whatever join Spark finds best at run time.
 """
 
 from __future__ import annotations
@@ -30,6 +32,10 @@ from tablemend.operators.columns import col
 from tablemend.operators.guards import stop_on
 
 HOT_ROWS = 1_000_000
+#: Most keys that are cut; a key beyond these has fewer rows than a hundred-thousandth of the table.
+HOT_KEYS = 100_000
+#: How many times larger rows may be than the files they are read from.
+INFLATION = 20
 
 Key = str | tuple[str, str]
 
@@ -42,13 +48,21 @@ def broadcast_limit(df: DataFrame) -> int:
 
 
 def known_small(df: DataFrame) -> bool:
-    """Do the plan statistics put the table below the broadcast limit? They rest on file sizes."""
+    """Is the table surely below the broadcast limit?
+
+    Plan statistics rest on the size of files, which may be compressed, and do not
+    see rows multiply. So only plans without generators, joins and expansions count,
+    with room for compression.
+    """
     try:
-        size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        plan = df._jdf.queryExecution().optimizedPlan()
+        size = plan.stats().sizeInBytes()
     except AttributeError:
         # A client without a local plan cannot tell.
         return False
-    return int(str(size)) <= broadcast_limit(df)
+    if re.search(r"^[\s:+|-]*(?:Generate|Join|Expand|ExternalRDD|LogicalRDD|MapIn|FlatMap)", plan.toString(), re.MULTILINE):
+        return False
+    return int(str(size)) * INFLATION <= broadcast_limit(df)
 
 
 def key_pairs(on: str | Sequence[Key]) -> list[tuple[str, str]]:
@@ -96,7 +110,8 @@ def hot_keys(keys: Sequence[str], hot_rows: int, **sides: DataFrame) -> DataFram
     counts = rows.groupBy(*keys).agg(*[F.sum(side).alias(side) for side in sides])
     hot = [F.col(side) > hot_rows for side in sides]
     is_hot = hot[0] if len(hot) == 1 else hot[0] | hot[1]
-    return counts.where(is_hot).select(
+    largest = counts.where(is_hot).orderBy(F.greatest(*sides, F.lit(0)).desc(), *keys).limit(HOT_KEYS)
+    return largest.select(
         *[F.col(k).alias(f"{k}_hot") for k in keys],
         *[F.ceil(F.col(side) / hot_rows).cast("int").alias(side) for side in sides],
     )
@@ -116,10 +131,29 @@ def _any_null(keys: Sequence[str]) -> Column:
     return out
 
 
-def _spread(df: DataFrame, parts: Column, sub_key: str, unmatchable: Column | None = None) -> DataFrame:
-    """Give each row one of its key's sub-keys; rows that meet no partner need not stay together."""
+def in_scan_order(df: DataFrame) -> bool:
+    """Are the rows as a scan gives them, in the same order whenever a task runs again?"""
+    try:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+    except AttributeError:
+        return False
+    nodes = re.findall(r"^[\s:+|-]*(\w+)", plan, re.MULTILINE)
+    return set(nodes) <= {"Project", "Filter", "Relation", "LocalRelation", "Range", "Union", "true"}
+
+
+def _spread(df: DataFrame, parts: Column, sub_key: str, unmatchable: Column | None = None, scanned: bool = False) -> DataFrame:
+    """Give each row one of its key's sub-keys; rows that meet no partner need not stay together.
+
+    ``scanned`` says that the rows are in scan order, so that their position is a
+    stable number; else their columns are hashed.
+    """
     task = F.spark_partition_id()
-    chosen = F.when(parts > 1, F.pmod(task, parts)).otherwise(F.lit(0))
+    if scanned:
+        mixed = F.pmod(F.xxhash64(F.monotonically_increasing_id()), parts)
+    else:
+        hashable = [F.col(f"`{n}`") for n, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+        mixed = F.pmod(F.pmod(F.xxhash64(*hashable), parts) + F.pmod(task, parts), parts)
+    chosen = F.when(parts > 1, mixed.cast("int")).otherwise(F.lit(0))
     return df.withColumn(sub_key, chosen if unmatchable is None else F.when(unmatchable, task).otherwise(chosen))
 
 
@@ -129,10 +163,10 @@ def _repeat(df: DataFrame, parts: Column, sub_key: str) -> DataFrame:
 
 
 def _meeting(large: DataFrame, large_keys: Sequence[str], small: DataFrame, small_keys: Sequence[str], nulls: str) -> DataFrame:
-    """The rows of a large table that meet a small one, found without a shuffle of the large one."""
+    """The rows of a large table that meet a small one."""
     wanted = small.select(*[F.col(k).alias(f"{k}_wanted") for k in small_keys]).distinct()
     condition = _all_equal([(F.col(a), F.col(f"{b}_wanted")) for a, b in zip(large_keys, small_keys)], nulls)
-    return large.join(F.broadcast(wanted), condition, "left_semi")
+    return large.join(wanted, condition, "left_semi")
 
 
 def _left_keyed(
@@ -173,12 +207,13 @@ def _left_keyed(
         sides["__rhot"] = right.select(*[F.col(r).alias(k) for k, r in zip(keys, right_keys)])
     hot = hot_keys(keys, hot_rows, **sides)
 
+    left_scanned, right_scanned = in_scan_order(left), in_scan_order(right)
     left = mark_hot(left, hot, keys, list(sides))
-    left = _spread(left, F.col("__lhot"), "__ls", None if unmatchable is None else F.coalesce(unmatchable, F.lit(False)))
+    left = _spread(left, F.col("__lhot"), "__ls", None if unmatchable is None else F.coalesce(unmatchable, F.lit(False)), left_scanned)
     right = right.withColumnsRenamed(dict(zip(right_keys, keys)))
     right = mark_hot(right, hot, keys, list(sides))
     if not right_unique:
-        right = _spread(right, F.col("__rhot"), "__rs").drop("__rhot")
+        right = _spread(right, F.col("__rhot"), "__rs", scanned=right_scanned).drop("__rhot")
         left = _repeat(left, F.col("__rhot"), "__lrs")
     right = _repeat(right, F.col("__lhot"), "__rls").drop("__lhot")
     right = right.withColumnsRenamed(dict(zip(keys, right_keys)))
@@ -307,8 +342,9 @@ def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small:
         side = F.broadcast(side)
     elif not plain:
         hot = hot_keys(keys, hot_rows, __lhot=keyed)
+        scanned = in_scan_order(keyed)
         keyed = mark_hot(keyed, hot, keys, ["__lhot"])
-        keyed = _spread(keyed, F.col("__lhot"), "__ls", None if nulls == "match" else _any_null(keys))
+        keyed = _spread(keyed, F.col("__lhot"), "__ls", None if nulls == "match" else _any_null(keys), scanned)
         side = mark_hot(side.toDF(*keys), hot, keys, ["__lhot"])
         side = _repeat(side, F.col("__lhot"), "__rls").drop("__lhot").withColumnsRenamed(dict(zip(keys, right_keys)))
         condition = condition & (F.col("__ls") == F.col("__rls"))
@@ -459,13 +495,16 @@ def unused_rows(
 ) -> DataFrame:
     """The ``y`` rows whose ``on`` values a cascade would attach to no row of ``x``.
 
-    What a cascade attaches depends on the keys alone, so it runs over the distinct
-    key combinations of ``x``, not over its rows again.
+    ``on`` may name keys too: they are compared as the ``y`` rows have them. What a
+    cascade attaches depends on the keys alone, so it runs over the distinct key
+    combinations of ``x``, not over its rows again.
     """
     keys = list(dict.fromkeys(left for p in passes for left, _ in key_pairs(p)))
     combinations = x.select(*[col(k) for k in keys]).distinct()
-    used = _passes(combinations, y, passes, nulls, None, False, hot_rows)
-    return anti_join(y, used.where(col(on[-1]).isNotNull()), list(on), hot_rows=hot_rows)
+    own = {c: f"__own_{c}" for c in on}
+    marked = y.withColumns({copy: col(c) for c, copy in own.items()})
+    used = _passes(combinations, marked, passes, nulls, "__matched_in", False, hot_rows).where("__matched_in IS NOT NULL")
+    return anti_join(y, used, list(own.items()), hot_rows=hot_rows)
 
 
 def repeated_partners(left: DataFrame, right: DataFrame, on: str | Sequence[Key], nulls: str = "match") -> DataFrame:

@@ -4,6 +4,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tablemend.operators import joins as j
@@ -102,6 +103,35 @@ def test_joins_read_only_the_columns_used(no_broadcast, spark, tmp_path):
     assert "c0" in plan and "c3" not in plan and "c4" not in plan
 
 
+@pytest.mark.parametrize("arranged", ["repartition", "window"])
+def test_hot_rows_of_one_task_are_spread(no_broadcast, spark, arranged):
+    """An earlier shuffle by the key has brought the whole key into one task."""
+    l = spark.range(8000).select(F.lit("hot").alias("k"), "id")
+    if arranged == "window":
+        l = l.withColumn("n", F.count("*").over(Window.partitionBy("k")))
+    else:
+        l = l.repartition(8, "k")
+    keyed = j._with_keys(l, [F.col("k")])
+    hot = j.hot_keys(["__k0"], 1000, __lhot=keyed)
+    spread = j._spread(j.mark_hot(keyed, hot, ["__k0"], ["__lhot"]), F.col("__lhot"), "sub")
+    counts = [r["count"] for r in spread.groupBy("k", "sub").count().collect()]
+    assert len(counts) == 8 and max(counts) <= 2000
+
+
+def test_the_list_of_hot_keys_is_bounded(no_broadcast, spark, monkeypatch):
+    monkeypatch.setattr(j, "HOT_KEYS", 2)
+    l = spark.createDataFrame([("a", n) for n in range(5)] + [("b", n) for n in range(4)] + [("c", n) for n in range(3)], "k string, v int")
+    r = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "k string, w int")
+    assert {x[0] for x in rows(j.hot_keys(["__k0"], 1, __lhot=j._with_keys(l, [F.col("k")])))} == {"a", "b"}
+    assert rows(j.left_join(l, r, "k", hot_rows=1), "k", "v", "w") == sorted((k, v, "abc".index(k) + 1) for k, v in rows(l))
+
+
+def test_only_surely_small_tables_count_as_small(spark, tmp_path):
+    few = spark.range(20)
+    many = few.select(F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("k"))
+    assert j.known_small(few) and not j.known_small(many)
+
+
 @pytest.mark.parametrize("nulls", ["match", "never"])
 @pytest.mark.parametrize("small", ["v", "w"])
 def test_one_small_side(spark, monkeypatch, small, nulls):

@@ -89,6 +89,14 @@ def test_fill_down(no_broadcast, spark, data, width):
     assert rows(fill.fill_down(table(spark, numbered), ["c"], ["k"], ["i"], chunk, hot_rows=3)) == sorted(want, key=repr)
 
 
+def test_fill_down_hands_on_rows_without_order(no_broadcast, spark):
+    """Rows whose order is NULL sort first; their last value starts the next piece."""
+    df = spark.createDataFrame([("k", None, "x")] + [("k", i, None) for i in range(1, 7)] + [("l", None, None), ("l", 3, "y"), ("l", 4, None)], "k string, i int, c string")
+    for hot_rows in (3, None):
+        out = fill.fill_down(df, ["c"], ["k"], ["i"], F.floor(F.col("i") / 2), hot_rows=hot_rows)
+        assert rows(out, "k", "i", "c") == sorted([("k", None, "x")] + [("k", i, "x") for i in range(1, 7)] + [("l", None, None), ("l", 3, "y"), ("l", 4, "y")], key=repr)
+
+
 def test_fill_down_needs_a_group(spark):
     with pytest.raises(ValueError, match="group"):
         fill.fill_down(table(spark, []), ["c"], [], ["i"])
