@@ -36,7 +36,7 @@ def build_catalogue(
 ) -> DataFrame:
     """Unite harmonised sources, correct them, fill numbers from the vocabulary, keep one species."""
     unified = cut_lineage(cat.unify(tables), "unified")
-    corrected = cat.correct(unified, corrections, small=True)
+    corrected = cat.correct(unified, corrections)
     if vocabulary is not None:
         corrected = cat.complete(corrected, vocabulary, VOCABULARY_KEY, ["Cat_Number"], hot_rows)
     return c.relocate(cat.keep_species(corrected, species), FRONT)
@@ -58,7 +58,7 @@ def annotate_catalogue(
     stated = cat.only_value_per_key(cat.search_aliases(spelled, aliases, hot_rows=None), ["Antigen"], id_columns)
     named = rows_patch(named, stated, ["Antigen"], check_unique=False, hot_rows=None)
     stored = cut_lineage(named, "annotated")
-    return cat.fill_from_peers(stored, held_out=cat.is_custom(stored), hot_rows=hot_rows)
+    return cat.fill_from_peers(stored, held_out=cat.is_custom(stored), hot_rows=hot_rows, store=True)
 
 
 def reconcile_catalogue(

@@ -90,15 +90,32 @@ def _read_lines(spark: SparkSession, paths: Sequence[str], options: ReadOptions)
     """Lines of unquoted text: separators beyond the last column belong to its value."""
     if options.columns is None:
         raise ValueError("text lines need declared columns")
-    lines = spark.read.text(list(paths)).withColumn("value", F.regexp_replace("value", r"\r+$", ""))
-    if options.header:
-        lines = lines.where(F.col("value") != options.sep.join(options.columns))
+    lines = _text_lines(spark, paths, options.sep.join(options.columns) if options.header else None)
     pieces = split_parts(F.col("value"), len(options.columns), re.escape(options.sep), extra="merge")
     return lines.where(F.col("value") != "").select(
         *[F.nullif(p, F.lit("NA")).alias(c) for c, p in zip(options.columns, pieces)]
     )
 
 
+#: A character that no text line holds: lines are read as tables of one column.
+NO_SEPARATOR = "\x01"
+
+
+def _text_lines(spark: SparkSession, paths: Sequence[str], header: str | None) -> DataFrame:
+    """Lines of files as column ``value``, without a trailing carriage return, with ``path``.
+
+    With a header the first line of each file is left out, by its position, and
+    must be that text; equal lines below it are data. Empty lines are left out.
+    """
+    if header is None:
+        lines = spark.read.text(list(paths)).withColumnRenamed("value", "__line")
+    else:
+        schema = StructType([StructField(header, StringType())])
+        reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("sep", NO_SEPARATOR).option("quote", "")
+        lines = reader.csv(list(paths)).withColumnRenamed(header, "__line")
+    return lines.select(F.regexp_replace("__line", r"\r+$", "").alias("value"), F.col("_metadata.file_path").alias("path"))
+
+
 def provenance_columns() -> list[Column]:
     """File name and position of a scanned row; use directly on a scan."""
     return [
@@ -116,6 +133,21 @@ def source_name(file_name: Column) -> Column:
     return F.regexp_replace(file_name, r"(?s)\..*", "")
 
 
+def headers(spark: SparkSession, folder: str, include: str | None = None, exclude: str | None = None) -> dict[str, list[str]]:
+    """First line → files that begin with it, for the files of a folder that the patterns on the file name choose."""
+    lines = spark.read.text(folder).select("value", *[F.col(f"_metadata.{n}").alias(n) for n in ("file_path", "file_name", "file_block_start")])
+    if include is not None:
+        lines = lines.where(F.col("file_name").rlike(include))
+    if exclude is not None:
+        lines = lines.where(~F.col("file_name").rlike(exclude))
+    numbered = lines.where("file_block_start = 0").withColumn("line", F.monotonically_increasing_id())
+    first = numbered.groupBy("file_path").agg(F.min_by("value", "line").alias("header"))
+    found: dict[str, list[str]] = {}
+    for row in first.orderBy("file_path").collect():
+        found.setdefault(row["header"], []).append(row["file_path"])
+    return found
+
+
 def read_folder(
     spark: SparkSession,
     folder: str,
@@ -124,23 +156,34 @@ def read_folder(
     exclude: str | None = None,
     provenance: bool = True,
 ) -> DataFrame:
-    """All files of a folder with one header, chosen by patterns on the file name.
+    """The files of a folder chosen by patterns on the file name, as one table.
 
-    The patterns are filters on file metadata, which Spark applies when listing files.
+    Only chosen files decide the columns. Files may have them in another order:
+    each distinct header is read on its own and mapped by name; a file with other
+    columns than the first one is an error. Without a header, or with declared
+    columns, all files are read alike.
     """
-    reader = _reader(spark, options)
-    if options.columns is not None:
-        reader = reader.schema(StructType([StructField(c, StringType()) for c in options.columns]))
-    df = reader.csv(folder)
-    file_name = F.col("_metadata.file_name")
-    names = df.columns
-    if include is not None:
-        df = df.where(file_name.rlike(include))
-    if exclude is not None:
-        df = df.where(~file_name.rlike(exclude))
-    if not provenance:
-        return repair_header(df)
-    return repair_header(df.select(*[F.col(f"`{c}`") for c in names], *provenance_columns()))
+    if not options.header or options.columns is not None:
+        reader = _reader(spark, options)
+        if options.columns is not None:
+            reader = reader.schema(StructType([StructField(c, StringType()) for c in options.columns])).option("enforceSchema", False)
+        df = reader.csv(folder)
+        names, file_name = df.columns, F.col("_metadata.file_name")
+        if include is not None:
+            df = df.where(file_name.rlike(include))
+        if exclude is not None:
+            df = df.where(~file_name.rlike(exclude))
+        return repair_header(df.select(*[F.col(f"`{c}`") for c in names], *(provenance_columns() if provenance else [])))
+    found = headers(spark, folder, include, exclude)
+    if not found:
+        raise ValueError(f"no file of {folder} is chosen")
+    out = None
+    for paths in found.values():
+        df = read_delimited(spark, paths, options, provenance)
+        if out is not None and set(df.columns) != set(out.columns):
+            raise ValueError(f"{paths[0]} has the columns {df.columns}, not {out.columns}")
+        out = df if out is None else out.unionByName(df)
+    return out
 
 
 def read_checked(spark: SparkSession, path: str, columns: Sequence[str], options: ReadOptions = ReadOptions()) -> tuple[DataFrame, DataFrame]:
@@ -153,9 +196,7 @@ def read_checked(spark: SparkSession, path: str, columns: Sequence[str], options
         "sep": options.sep, "quote": options.quote, "escape": options.quote, "nullValue": "NA",
         "mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED,
     }
-    lines = spark.read.text(path).select(F.regexp_replace("value", r"\r+$", "").alias("raw"), F.col("_metadata.file_path").alias("path"))
-    if options.header:
-        lines = lines.where(F.col("raw") != options.sep.join(columns))
+    lines = _text_lines(spark, [path], options.sep.join(columns) if options.header else None).withColumnRenamed("value", "raw")
     parsed = lines.withColumn("row", F.from_csv("raw", schema, parse))
     bad = F.col(f"row.{MALFORMED}").isNotNull()
     good_rows = parsed.where(~bad).select(*[F.col(f"row.`{c}`").alias(c) for c in columns])

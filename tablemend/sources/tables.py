@@ -50,16 +50,12 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 def work_folder(spark: SparkSession) -> str:
     """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
 
-    Only a local session, whose tasks all run on this machine, may do without the
-    setting; a cluster needs a folder every executor can reach.
+    It must be set: no folder of one machine takes its place.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
+    if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    return str(Path(spark.conf.get("spark.local.dir", "/tmp")) / "tablemend-work")
+    return folder.rstrip("/")
 
 
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:

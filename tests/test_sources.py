@@ -63,6 +63,29 @@ def test_folder_with_patterns_provenance_and_order(spark, tmp_path):
     assert rows(filled, "id", "name") == [("a", "1"), ("b", "1"), ("c", "3"), ("d", "3")]
 
 
+def test_folder_maps_columns_by_name(spark, tmp_path):
+    write(tmp_path, "a_feature.csv", "id,name\n1,x\n")
+    write(tmp_path, "b_feature.csv", "name,id\ny,2\nname,id\n")
+    write(tmp_path, "index.csv", "ID2,filename\n" + "q,r\n" * 50)
+    df = d.read_folder(spark, str(tmp_path), include="feature")
+    assert rows(df, "id", "name", "_src") == sorted([("1", "x", "a_feature"), ("2", "y", "b_feature"), ("id", "name", "b_feature")], key=repr)
+    with pytest.raises(ValueError, match="columns"):
+        d.read_folder(spark, str(tmp_path))
+    with pytest.raises(ValueError, match="no file"):
+        d.read_folder(spark, str(tmp_path), include="nothing")
+
+
+def test_header_goes_by_position(spark, tmp_path):
+    path = write(tmp_path, "t.csv", "a,b\n1,2\na,b\n5,6,7\n")
+    good, bad = d.read_checked(spark, path, ["a", "b"])
+    assert rows(good) == [("1", "2"), ("a", "b")] and rows(bad, "raw") == [("5,6,7",)]
+    rest = d.read_delimited(spark, path, d.ReadOptions(rest_in_last=True, columns=("a", "b")))
+    assert rows(rest) == [("1", "2"), ("5", "6,7"), ("a", "b")]
+    other = write(tmp_path, "u.csv", "a, b\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        d.read_checked(spark, other, ["a", "b"])[0].collect()
+
+
 def test_sheets_become_a_column(spark, tmp_path):
     write(tmp_path, "patient_1.csv", "name,sequence\nCD3,ACGT\n")
     write(tmp_path, "patient_2.csv", "name,sequence\nCD3,TTTT\n")
