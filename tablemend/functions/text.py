@@ -74,37 +74,52 @@ GREEK = [
     ("ζ", "zeta", "z"),
     ("η", "eta", "h"),
     ("θ", "theta", "q"),
+    ("ι", "iota", "i"),
     ("κ", "kappa", "k"),
     ("λ", "lambda", "l"),
     ("μ", "mu", "m"),
+    ("ν", "nu", "n"),
+    ("ξ", "xi", "x"),
+    ("ο", "omicron", "o"),
+    ("π", "pi", "p"),
+    ("ρ", "rho", "r"),
+    ("σ", "sigma", "s"),
+    ("τ", "tau", "t"),
+    ("υ", "upsilon", "u"),
+    ("φ", "phi", "f"),
+    ("χ", "chi", "c"),
+    ("ψ", "psi", "y"),
+    ("ω", "omega", "w"),
 ]
 
 
-GREEK_SYMBOLS = "".join(symbol for symbol, _, _ in GREEK) + "µ"
-GREEK_LETTERS = "".join(letter for _, _, letter in GREEK) + "m"
+# Capitals become capital letters; the micro sign counts as mu, final sigma as sigma.
+GREEK_SYMBOLS = "".join(symbol for symbol, _, _ in GREEK) + "".join(symbol.upper() for symbol, _, _ in GREEK) + "µς"
+GREEK_LETTERS = "".join(letter for _, _, letter in GREEK) + "".join(letter.upper() for _, _, letter in GREEK) + "ms"
 
 
 def greek_symbols_to_letters(col: Column) -> Column:
-    """α → a, β → b …; the micro sign counts as mu."""
+    """α → a, β → b …, Δ → D …; the micro sign counts as mu."""
     return F.translate(col, GREEK_SYMBOLS, GREEK_LETTERS)
 
 
 def greek_words_to_letters(col: Column) -> Column:
     """alpha → a, beta → b …, longest words first.
 
-    "mu" and "eta" occur inside ordinary words ("immune", "metal"), so words of
-    up to three letters are only replaced where they stand alone.
+    "mu", "eta" and "iota" occur inside ordinary words ("immune", "metal",
+    "biota"), so these and words of up to three letters are only replaced where
+    they stand alone.
     """
     out = col
     for _, word, letter in sorted(GREEK, key=lambda g: -len(g[1])):
-        out = F.regexp_replace(out, word if len(word) > 3 else rf"\b{word}\b", letter)
+        out = F.regexp_replace(out, word if len(word) > 3 and word != "iota" else rf"\b{word}\b", letter)
     return out
 
 
 def _folded_letters() -> tuple[str, str, list[tuple[str, str]]]:
-    """Accented Latin letters and their plain forms, from Unicode decomposition."""
+    """Letters with accents and ligatures, and their plain forms, from Unicode decomposition."""
     singles_from, singles_to, longer = [], [], []
-    for code in range(0x00A0, 0x0250):
+    for code in [*range(0x00A0, 0x0250), *range(0x1E00, 0x1F00), *range(0xFB00, 0xFB07)]:
         char = chr(code)
         plain = "".join(
             c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)
@@ -118,23 +133,30 @@ def _folded_letters() -> tuple[str, str, list[tuple[str, str]]]:
     return "".join(singles_from), "".join(singles_to), longer
 
 
-# Letters Unicode does not decompose.
-PLAIN_LETTERS = [("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("ø", "o"), ("Ø", "O"), ("ł", "l"), ("Ł", "L"), ("đ", "d"), ("Đ", "D")]
+# Letters and marks Unicode does not decompose.
+PLAIN_LETTERS = [
+    ("ß", "ss"), ("ẞ", "SS"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"), ("ø", "o"), ("Ø", "O"), ("ł", "l"), ("Ł", "L"), ("đ", "d"), ("Đ", "D"),
+    ("“", '"'), ("”", '"'), ("„", '"'), ("‘", "'"), ("’", "'"), ("‚", "'"), ("–", "-"), ("—", "-"), ("−", "-"), ("…", "..."), ("\u00a0", " "),
+]
 
 
 def to_ascii(col: Column) -> Column:
-    """Latin letters without accents, Greek symbols as Latin letters.
+    """Latin letters without accents, Greek symbols as Latin letters, plain quotes and dashes.
 
-    Plain texts are returned as they are, and only texts with letters that become
-    two go through the passes for those.
+    Combining marks go. Other scripts stay as they are. Plain texts are returned
+    as they are, and only texts with letters that become two go through the passes
+    for those.
     """
     chars, plain, longer = _folded_letters()
+    single = [(char, text) for char, text in PLAIN_LETTERS if len(text) == 1]
+    longer = longer + [(char, text) for char, text in PLAIN_LETTERS if len(text) > 1]
     spelled = col
-    for char, text in longer + PLAIN_LETTERS:
+    for char, text in longer:
         spelled = F.replace(spelled, F.lit(char), F.lit(text))
-    rare = "".join(char for char, _ in longer + PLAIN_LETTERS)
+    rare = "".join(char for char, _ in longer)
     spelled = F.when(col.rlike(f"[{rare}]"), spelled).otherwise(col)
-    folded = F.translate(spelled, GREEK_SYMBOLS + chars, GREEK_LETTERS + plain)
+    bare = F.when(col.rlike(r"[\u0300-\u036F]"), F.regexp_replace(spelled, r"[\u0300-\u036F]", "")).otherwise(spelled)
+    folded = F.translate(bare, GREEK_SYMBOLS + chars + "".join(c for c, _ in single), GREEK_LETTERS + plain + "".join(t for _, t in single))
     return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)
 
 

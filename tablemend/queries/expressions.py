@@ -115,10 +115,12 @@ _PLAIN = "aaaaaaceeeeiiiinooooouuuuyyAAAAAACEEEEIIIINOOOOOUUUUY"
 
 
 @query("q13_translit", f"""
-SELECT doc_id, replace(translate(text, '{_ACCENTED}', '{_PLAIN}'), 'ß', 'ss') AS text FROM documents
+SELECT doc_id, replace(translate(text, '{_ACCENTED}', '{_PLAIN}'), 'ß', 'ss') AS text,
+       source || ' fwsDA ee "x" - fi Ж' AS marked FROM documents
 """)
 def translit(t):
-    return t.documents.select("doc_id", x.to_ascii(F.col("text")).alias("text"))
+    odd = F.concat("source", F.lit(" φωσΔΑ ếe\u0301 “x” – ﬁ Ж"))
+    return t.documents.select("doc_id", x.to_ascii(F.col("text")).alias("text"), x.to_ascii(odd).alias("marked"))
 
 
 @query("q54_case_change_capture", """
@@ -149,7 +151,7 @@ def split_keep_source(t):
 
 
 @query("q61_greek_names", """
-SELECT p_partkey, replace(replace(replace(greek, 'α', 'a'), 'β', 'b'), 'γ', 'g') AS from_symbols, letters AS from_words
+SELECT p_partkey, replace(replace(replace(greek, 'α', 'a'), 'β', 'b'), 'γ', 'g') || ' wDs' AS from_symbols, letters AS from_words
 FROM (SELECT p_partkey,
              CASE WHEN p_size < 20 THEN 'α-' WHEN p_size < 40 THEN 'β-' ELSE 'γ-' END || p_name AS greek,
              CASE WHEN p_size < 20 THEN 'a-' WHEN p_size < 40 THEN 'b-' ELSE 'g-' END || p_name || ' immune metal' AS letters
@@ -161,6 +163,6 @@ def greek_names(t):
     word = F.when(size < 20, "alpha-").when(size < 40, "beta-").otherwise("gamma-")
     return t.part.select(
         "p_partkey",
-        x.greek_symbols_to_letters(F.concat(symbol, "p_name")).alias("from_symbols"),
+        x.greek_symbols_to_letters(F.concat(symbol, "p_name", F.lit(" ωΔς"))).alias("from_symbols"),
         x.greek_words_to_letters(F.concat(word, "p_name", F.lit(" immune metal"))).alias("from_words"),
     )
