@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tablemend.functions.split import NON_ALNUM, separate
 from tablemend.operators import columns as c
+from tablemend.operators.columns import col
 from tablemend.operators.joins import HOT_ROWS, join_any
 from tablemend.operators.rows import rows_update
 from tablemend.sources.delimited import ReadOptions
@@ -29,6 +30,23 @@ class Split:
     remove: bool = True
 
 
+@dataclass(frozen=True)
+class Parse:
+    """Read columns out of a text by one declared pattern.
+
+    Group n of the pattern is column ``into[n - 1]`` (None: not kept); an empty or
+    missing group is NULL. Where the text does not match, the columns in ``whole``
+    hold the text and the others are NULL. ``within`` limits the part to rows for
+    whose text this pattern holds; other rows keep what their columns had.
+    """
+
+    column: str
+    pattern: str
+    into: tuple[str | None, ...]
+    whole: tuple[str, ...] = ()
+    within: str | None = None
+
+
 @dataclass(frozen=True)
 class Lookup:
     """Take columns from a named table by the first key that matches."""
@@ -53,6 +71,7 @@ class SourceSpec:
     lookup: Lookup | None = None
     rename: Mapping[str, str] = field(default_factory=dict)
     split: Sequence[Split] = ()
+    parse: Sequence[Parse] = ()
     derive: Steps | None = None
     where: Callable[[], Column] | None = None
     constants: Mapping[str, str] = field(default_factory=dict)
@@ -63,6 +82,23 @@ class SourceSpec:
     distinct: bool = False
 
 
+def parsed(df: DataFrame, part: Parse) -> DataFrame:
+    """Add the columns a part reads out of a text."""
+    text = col(part.column)
+    met = text.rlike(part.pattern)
+    values = {}
+    for number, name in enumerate(part.into, start=1):
+        if name is not None:
+            value = F.when(met, F.nullif(F.regexp_extract(text, part.pattern, number), F.lit("")))
+            if name in part.whole:
+                value = F.when(~met, text).otherwise(value)
+            if part.within is not None:
+                before = col(name) if name in df.columns else F.lit(None)
+                value = F.when(text.rlike(part.within), value).otherwise(before)
+            values[name] = value
+    return df.withColumns(values)
+
+
 def harmonise(df: DataFrame, spec: SourceSpec, tables: Mapping[str, DataFrame] | None = None, label_column: str = "Study", hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One source table in catalogue shape, labelled with its source."""
     if spec.lookup is not None:
@@ -71,6 +107,8 @@ def harmonise(df: DataFrame, spec: SourceSpec, tables: Mapping[str, DataFrame] |
         df = c.rename(df, spec.rename)
     for s in spec.split:
         df = separate(df, s.column, s.into, s.sep, s.extra, s.fill, s.remove)
+    for p in spec.parse:
+        df = parsed(df, p)
     if spec.derive is not None:
         df = c.derive(df, spec.derive())
     if spec.where is not None:
