@@ -15,6 +15,9 @@ def fail_if(condition: Column, message: str) -> Column:
 
 def stop_on(result: DataFrame, bad: DataFrame, message: str) -> DataFrame:
     """The result, unless there is a bad row: the job that reads the result then stops."""
-    stray = bad.where(fail_if(F.lit(True), message))
+    # The row number keeps the check behind the joins that make the bad rows: Spark would move a plain
+    # condition before them, where good rows still are.
+    numbered = bad.withColumn("__bad", F.monotonically_increasing_id())
+    stray = numbered.where(fail_if(F.col("__bad") >= 0, message))
     none = stray.select(*[F.lit(None).cast(t).alias(c) for c, t in result.dtypes])
     return result.select(*[col(c) for c in result.columns]).unionAll(none)

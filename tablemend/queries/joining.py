@@ -219,3 +219,12 @@ SELECT l_orderkey, l_linenumber, l_partkey IN (SELECT p_partkey FROM part WHERE
 def membership_flag(t):
     lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     return c.drop(j.in_column(lines, "l_partkey", t.part.where("p_type = 'PROMO'"), "p_partkey", "is_promo"), ["l_partkey"])
+
+
+@query("q80_one_to_many", """
+SELECT coalesce(n_nationkey, c_nationkey) AS n_nationkey, n_name, c_custkey FROM nation FULL JOIN customer ON n_nationkey = c_nationkey
+""")
+def one_to_many(t):
+    """No customer meets two nations; the job would stop if one did."""
+    nations, customers = t.nation.select("n_nationkey", "n_name"), t.customer.select("c_custkey", "c_nationkey")
+    return j.full_join(nations, customers, [("n_nationkey", "c_nationkey")], one_to_many=True)

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tablemend.operators import rows as r
+from tablemend.operators.fill import fill_by_group
 from tablemend.operators.sets import upsert_union
 from tablemend.queries.registry import query
+from tablemend.sources.tables import literal_table
 
 
 @query("q24_rows_update", """
@@ -72,3 +74,36 @@ SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN upper(p_name) ELSE p_name END
 def upsert(t):
     preferred = t.part.where("p_type = 'PROMO'").withColumn("p_name", F.upper("p_name"))
     return upsert_union(preferred, t.part, ["p_partkey"])
+
+
+@query("q77_update_all_matched", """
+WITH y AS (SELECT n_regionkey, max(n_name) AS last_nation FROM nation GROUP BY 1)
+SELECT r_regionkey, r_name, CASE WHEN n_regionkey IS NULL THEN 'none' ELSE last_nation END AS last_nation
+FROM region LEFT JOIN y ON r_regionkey = n_regionkey
+""")
+def update_all_matched(t):
+    """Every patch row must find its target; the job would stop if one did not."""
+    regions = t.region.select("r_regionkey", "r_name", F.lit("none").alias("last_nation"))
+    patch = t.nation.groupBy(F.col("n_regionkey").alias("r_regionkey")).agg(F.max("n_name").alias("last_nation"))
+    return r.rows_update(regions, patch, ["r_regionkey"], unmatched="error")
+
+
+@query("q78_fill_single_values", """
+SELECT p_partkey, p_brand, CASE WHEN max(p_brand) FILTER (WHERE p_size > 25) OVER (PARTITION BY p_brand) IS NOT NULL THEN upper(p_brand) END AS label
+FROM part
+""")
+def fill_single_values(t):
+    """Groups with one known value; the job would stop at a group with two."""
+    parts = t.part.select("p_partkey", "p_brand", F.when(F.col("p_size") > 25, F.upper("p_brand")).alias("label"))
+    return fill_by_group(parts, ["p_brand"], ["label"], multiple="error")
+
+
+@query("q79_literal_patch", """
+SELECT r_regionkey, r_name, CASE r_name WHEN 'ASIA' THEN 'east' WHEN 'AMERICA' THEN 'west' END AS side, count(n_nationkey) AS nations
+FROM region LEFT JOIN nation ON n_regionkey = r_regionkey GROUP BY 1, 2, 3
+""")
+def literal_patch(t):
+    """A patch whose rows are written out in the program."""
+    counted = t.region.join(t.nation, F.col("n_regionkey") == F.col("r_regionkey"), "left").groupBy("r_regionkey", "r_name").agg(F.count("n_nationkey").alias("nations"))
+    patch = literal_table(t.spark, "r_name string, side string", [("ASIA", "east"), ("AMERICA", "west")])
+    return r.rows_patch(counted.withColumn("side", F.lit(None).cast("string")), patch, ["r_name"], small=True)
