@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
@@ -36,17 +37,37 @@ LANE_ROWS = 100_000
 #: Chunks that a worker remembers (some 200 MB); beyond it, the older half goes.
 CACHED = 1_000_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
-#: A space before white space or the end; texts without one can be cut before every space.
+#: A space before white space or the end, where a text is not cut.
 _LOOSE = re.compile(r" (?:[\s\x1c-\x1f]|\Z)")
+_MARKS = ".,;:!?"
 _ENCODERS: dict[str, Encoder] = {}
 
 
+def packed_ids(ids: list[int]) -> bytes:
+    """Ids as little-endian 32-bit numbers."""
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def chunks_of(text: str) -> list[str]:
+    """The text cut at the spaces that stand before other than white space; joined by spaces it is the text."""
+    chunks = text.split(" ")
+    if _LOOSE.search(text):
+        tight = chunks[:1]
+        for c in chunks[1:]:
+            if not c or c[0].isspace():
+                tight[-1] += " " + c
+            else:
+                tight.append(c)
+        return tight
+    return chunks
+
+
 class Encoder:
     """Token ids as little-endian bytes; a chunk (a space and what follows up to the next) is encoded once per worker.
 
-    The byte-level tokenizer never joins a space with what stands before it, so the ids of a text are those of its
-    chunks, one after the other. Texts with other white space after a space, or with the file's special tokens, are
-    encoded whole.
+    The byte-level tokenizer never joins a space before other than white space with what stands before it, so the ids of
+    a text are those of its chunks, one after the other; a space before white space or the end stays within its
+    chunk. Texts with the file's special tokens are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -56,23 +77,28 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.marks = dict(zip(_MARKS, self.encode(list(_MARKS)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = []
         for at in range(0, len(texts), 4096):
-            found += [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
+            found += [packed_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
         return found
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
-        whole = [bool(_LOOSE.search(t)) or any(s in t for s in self.special) for t in texts]
-        cut = [None if w else t.split(" ") for t, w in zip(texts, whole, strict=True)]
+        cut = [None if any(s in t for s in self.special) else chunks_of(t) for t in texts]
         wanted = set().union(*(c[1:] for c in cut if c))
         missing = [c for c in wanted if c not in self.known]
         if len(self.known) + len(missing) > CACHED:
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
             missing = [c for c in wanted if c not in self.known]
-        self.known.update(zip(missing, self.encode([" " + c for c in missing]), strict=True))
+        # A mark after a letter or digit is a token piece of its own, so the word before it is all that must be encoded.
+        marked = {c for c in missing if c[-1:] in _MARKS and c[-2:-1].isalnum()}
+        new = [c for c in {c[:-1] if c in marked else c for c in missing} if c not in self.known]
+        self.known.update(zip(new, self.encode([" " + c for c in new]), strict=True))
+        for c in marked:
+            self.known[c] = self.known[c[:-1]] + self.marks[c[-1]]
         first = iter(self.encode([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
         for c in cut:
             yield next(first) if c is None else next(first) + b"".join(map(self.known.__getitem__, c[1:]))
