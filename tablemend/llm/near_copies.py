@@ -1,0 +1,276 @@
+"""Near copies by word shingles: similarity 0.8 or more of the sets of five-word shingles.
+
+SimHash with Golay keys proposes pairs, the shingles themselves decide. Two sets with similarity 0.8 differ in about 15 % of
+their SimHash bits, far more than one fingerprint's two segments stand, so the fingerprint has 512 bits: eleven bands of two
+segments of 23 bits. The indices of all Golay codewords within 4 bits of each segment are joined to the keys of a band. At
+similarity 0.8 a segment shares a codeword with a chance of 0.6, a band of 0.36, one of eleven bands of 0.993. Pairs with an
+equal key that differ in at most 18 of the first 64 and at most 112 of all 512 bits are verified on their texts.
+
+Only distinct sets are compared; copies follow by the digest of their set. A key with few sets gives all its pairs. A larger
+one first gives the pairs of close neighbours; once those are verified and joined to components, all its pairs of
+different components are compared, but for those inside its largest component, so nothing is lost. A large group of copies
+is not squared; one of texts that look near and are below 0.8 may be, as each such pair must be refuted.
+
+Defined cases: a NULL or empty text has no shingle, and all such are equal; a text of fewer words than a shingle is one
+shingle; A-Z are lower-cased, words end at ASCII white space; an empty table gives no rows; other columns stay as they are.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tablemend.llm.common import components, ints, partitions, regrouped, stored, word_bounds
+from tablemend.llm.simhash import codeword_indices, golay_errors
+
+SHINGLE = 5
+SEED = 42
+#: Least similarity, as a fraction.
+SIMILARITY = (4, 5)
+#: 64-bit words of a fingerprint; bands of two Golay segments.
+WORDS, BANDS, SEGMENT = 8, 11, 23
+#: Most differing bits of a pair that is verified: of the first word, of all words.
+FIRST_RADIUS, RADIUS = 18, 112
+#: Shingles of one text that are spread over the fingerprint at once.
+AT_ONCE = 1 << 15
+#: Sets of one key up to which all pairs are compared at once; neighbours of a larger one; sets that one task compares.
+SMALL, NEIGHBOURS, BUCKET = 32, 8, 8192
+_BIT = ((np.arange(256)[:, None] >> np.arange(8)) & 1).astype(np.float64)
+_STEPS = np.arange(1, WORDS + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+
+
+def shingles(text: str | None, size: int = SHINGLE) -> list[bytes]:
+    """The shingles of a text, in order, with repeats."""
+    words = b" ".join((text or "").encode("utf-8", "surrogatepass").lower().split())
+    starts, ends = word_bounds(words)
+    if len(starts) > size:
+        starts, ends = starts[: len(starts) - size + 1], ends[size - 1 :]
+    else:
+        starts, ends = starts[:1], ends[-1:]
+    return [words[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
+
+
+def similar(one: set[bytes], other: set[bytes], least: tuple[int, int] = SIMILARITY) -> bool:
+    """Whether the sets have at least this Jaccard similarity; two empty ones are equal."""
+    shared = len(one & other)
+    return least[1] * shared >= least[0] * (len(one) + len(other) - shared)
+
+
+def _spread(hashes: np.ndarray) -> np.ndarray:
+    """For each hash, WORDS independent ones (the finaliser of splitmix64)."""
+    x = hashes[:, None] + _STEPS
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def fingerprint(text: str | None, size: int = SHINGLE) -> tuple[int, np.ndarray]:
+    """Digest (signed) and fingerprint (WORDS words) of the set of a text's shingles."""
+    digest = xxhash.xxh64_intdigest
+    hashes = np.unique(np.array([digest(s, SEED) for s in shingles(text, size)], np.uint64))
+    name = int(np.uint64(digest(hashes.astype("<u8").tobytes(), SEED)).view(np.int64))
+    counts = np.zeros(WORDS * 8 * 256, np.int64)
+    for at in range(0, len(hashes), AT_ONCE):
+        cells = _spread(hashes[at : at + AT_ONCE]).astype("<u8").view(np.uint8).reshape(-1, WORDS * 8) + np.arange(WORDS * 8) * 256
+        counts += np.bincount(cells.ravel(), minlength=len(counts))
+    ones = (counts.reshape(-1, 256).astype(np.float64) @ _BIT).ravel()
+    return name, np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")
+
+
+def fuzzy_keys(prints: np.ndarray, errors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(key, row of prints): every key of every fingerprint."""
+    keys, owners = [], []
+    bits = np.unpackbits(prints.astype("<u8").view(np.uint8).reshape(len(prints), -1), axis=1, bitorder="little")
+    weights = 1 << np.arange(SEGMENT)
+    for band in range(BANDS):
+        at = 2 * SEGMENT * band
+        a, b = (codeword_indices(bits[:, x : x + SEGMENT].astype(np.int64) @ weights, errors) for x in (at, at + SEGMENT))
+        both = (a[:, :, None] >= 0) & (b[:, None, :] >= 0)
+        keys.append(((band << 24) | (a[:, :, None] << 12) | b[:, None, :])[both])
+        owners.append(np.nonzero(both)[0])
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Fingerprints as rows of words."""
+    return np.frombuffer(b"".join(column.to_pylist()), "<u8").reshape(-1, WORDS)
+
+
+def keyed(sets: DataFrame) -> DataFrame:
+    """(key, name, bits): every set under each of its keys, with the first word of its fingerprint."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        errors = golay_errors()
+        for batch in batches:
+            for at in range(0, batch.num_rows, 500):
+                part = batch.slice(at, 500)
+                prints = _matrix(part.column(1))
+                keys, owners = fuzzy_keys(prints, errors)
+                # In order of their sets: equal neighbours pack well.
+                order = np.argsort(owners, kind="stable")
+                keys, owners = keys[order], owners[order]
+                yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(ints(part, "name")[owners]), pa.array(prints[owners, 0].astype(np.uint64).view(np.int64))], ["key", "name", "bits"])
+
+    return sets.select("name", "print").mapInArrow(run, "key long, name long, bits long")
+
+
+def _apart(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((a ^ b).view(np.uint64))
+
+
+def proposed(batches: Iterator[pa.RecordBatch], small: int = SMALL, neighbours: int = NEIGHBOURS, bucket: int = BUCKET) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (key, bits): pairs (a, b, NULL, NULL), and the rows (name, NULL, key, bits) of keys that are not small."""
+
+    def rows(*columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["a", "b", "key", "bits"])
+
+    def compared(key: np.ndarray, name: np.ndarray, bits: np.ndarray, large: int | None) -> Iterator[pa.RecordBatch]:
+        """Whole groups, or a part of the large one."""
+        edge = np.concatenate([[0], np.flatnonzero(np.diff(key)) + 1, [len(key)]])
+        size = np.diff(edge)
+        of = np.repeat(np.arange(len(size)), size)
+        few = size[of] <= small
+        if large is not None:
+            few &= key != large
+        for shift in range(1, max(small, neighbours + 1)):
+            near = np.flatnonzero((of[shift:] == of[:-shift]) & (few[shift:] | (shift <= neighbours)))
+            if not len(near):
+                break
+            near = near[_apart(bits[near], bits[near + shift]) <= FIRST_RADIUS]
+            if len(near):
+                yield rows(np.minimum(name[near], name[near + shift]), np.maximum(name[near], name[near + shift]), [None] * len(near), [None] * len(near))
+        if not few.all():
+            yield rows(name[~few], [None] * int((~few).sum()), key[~few], bits[~few])
+
+    none = np.empty(0, np.int64)
+    held, large = (none, none, none), None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key, name, bits = (np.concatenate([h, ints(batch, c)]) for h, c in zip(held, ("key", "name", "bits"), strict=True))
+        tail = int(np.searchsorted(key, key[-1]))
+        if tail:
+            yield from compared(key[:tail], name[:tail], bits[:tail], large)
+            if large != key[-1]:
+                large = None
+        held = key[tail:], name[tail:], bits[tail:]
+        if len(held[0]) > bucket:
+            # A part of a large key goes out; what follows of it counts as large too.
+            large = int(held[0][0])
+            yield from compared(*held, large)
+            held = none, none, none
+    if len(held[0]):
+        yield from compared(*held, large)
+
+
+def across(large: DataFrame, joined: DataFrame, bucket: int = BUCKET) -> DataFrame:
+    """(a, b): the near pairs of different components (name, component) under each key of the rows (key, name, bits).
+
+    The sets outside a key's largest component meet all its sets, block by block.
+    """
+    known = large.join(joined, "name", "left").withColumn("component", F.coalesce("component", "name"))
+    known = stored(known.select("key", "name", "bits", "component"), "near-copies-large")
+    counts = known.groupBy("key", "component").agg(F.count("*").alias("n"))
+    sizes = counts.groupBy("key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("most"))
+    sizes = sizes.where(F.col("n") > F.col("most.n")).select(
+        "key",
+        F.col("most.component").alias("largest"),
+        F.ceil(F.col("n") / bucket).cast("long").alias("blocks"),
+        F.ceil((F.col("n") - F.col("most.n")) / bucket).cast("long").alias("parts"),
+    )
+    met = known.join(sizes, "key")
+
+    def dealt(number: str, into: str, rest: str, over: str) -> list[Column]:
+        """The part of a row by its name, and every part of the other side."""
+        return [F.pmod(F.xxhash64("name"), F.col(into)).alias(number), F.explode(F.sequence(F.lit(0).cast("long"), F.col(over) - 1)).alias(rest)]
+
+    columns = ["key", "block", "part", "name", "bits", "component"]
+    every = met.select("*", *dealt("block", "blocks", "part", "parts")).select(*columns, F.lit(False).alias("outside"))
+    outside = met.where("component != largest").select("*", *dealt("part", "parts", "block", "blocks")).select(*columns, F.lit(True).alias("outside"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        out = table.column("outside").to_numpy()
+        name, bits, of = (table.column(c).to_numpy() for c in ("name", "bits", "component"))
+        a, b = [], []
+        for n, x, component in zip(name[out].tolist(), bits[out], of[out].tolist(), strict=True):
+            near = name[~out][(_apart(bits[~out], x) <= FIRST_RADIUS) & (of[~out] != component)]
+            a.append(np.minimum(near, n))
+            b.append(np.maximum(near, n))
+        none = [np.empty(0, np.int64)]
+        return pa.table({"a": np.concatenate(a + none), "b": np.concatenate(b + none)})
+
+    return every.unionByName(outside).groupBy("key", "block", "part").applyInArrow(compare, "a long, b long")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, documents: DataFrame, size: int = SHINGLE) -> DataFrame:
+    """(a, b): the pairs of names whose texts are similar."""
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                apart = np.bitwise_count(_matrix(batch.column(2)) ^ _matrix(batch.column(3))).sum(axis=1)
+                yield batch.select(["a", "b"]).filter(pa.array(apart <= RADIUS))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regrouped(batches, "one"):
+            last, one, keep = None, set(), []
+            for a, x, y in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3)), strict=True):
+                if a != last:
+                    last, one = a, set(shingles(x, size))
+                keep.append(similar(one, set(shingles(y, size))))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def of(table: DataFrame, column: str, side: str) -> DataFrame:
+        return table.select(F.col("name").alias(side), F.col(column).alias(f"{column}_{side}"))
+
+    both = pairs.distinct().join(of(sets, "print", "a"), "a").join(of(sets, "print", "b"), "b").select("a", "b", "print_a", "print_b")
+    close = stored(both.mapInArrow(near, "a long, b long"), "near-copies-close")
+    asked = close.select(F.explode(F.array("a", "b")).alias("name")).distinct()
+    first = sets.join(asked, "name", "left_semi").select("name", F.col("key.doc_id").alias("__id"), F.col("key.mark").alias("__first"))
+    texts = marked(documents).select("doc_id", "text", "__mark").join(first, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__first")))
+    texts = stored(texts.dropDuplicates(["name"]).select("name", "text"), "near-copies-texts")
+    met = close.join(of(texts, "text", "a"), "a").join(of(texts, "text", "b"), "b").select("a", "b", F.col("text_a").alias("one"), F.col("text_b").alias("other"))
+    return met.mapInArrow(check, "a long, b long")
+
+
+def marked(documents: DataFrame) -> DataFrame:
+    return documents.withColumn("__mark", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+
+
+def without_copies(documents: DataFrame, size: int = SHINGLE, small: int = SMALL, neighbours: int = NEIGHBOURS, bucket: int = BUCKET) -> DataFrame:
+    """One document of each component: that with the smallest doc_id (NULL last); columns stay as they are.
+
+    Of rows that repeat this doc_id the one with the smallest hash of its text stays, of equal rows one.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regrouped(batches, "text"):
+            found = [fingerprint(t, size) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array([n for n, _ in found], pa.int64()), pa.array([p.tobytes() for _, p in found], pa.binary())], ["doc_id", "mark", "name", "print"]
+            )
+
+    read = marked(documents).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "__mark")
+    rows = read.mapInArrow(run, "doc_id long, mark long, name long, print binary")
+    key = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("mark"))
+    sets = stored(rows.groupBy("name").agg(F.min(key).alias("key"), F.min("print").alias("print")), "near-copies-sets")
+
+    parts = partitions(documents.sparkSession)
+    sorted_keys = keyed(sets).repartition(parts, "key").sortWithinPartitions("key", "bits")
+    found = stored(sorted_keys.mapInArrow(lambda b: proposed(b, small, neighbours, bucket), "a long, b long, key long, bits long"), "near-copies-proposed")
+    links = stored(verified(found.where("key IS NULL").select("a", "b"), sets, documents, size), "near-copies-links")
+    groups = components(links).select(F.col("node").alias("name"), "component")
+    large = found.where("key IS NOT NULL").select("key", F.col("a").alias("name"), "bits")
+    if not large.isEmpty():
+        more = stored(verified(across(large, groups, bucket), sets, documents, size), "near-copies-links")
+        if not more.isEmpty():
+            groups = components(links.unionByName(more)).select(F.col("node").alias("name"), "component")
+    first = sets.select("name", "key").join(groups, "name", "left").groupBy(F.coalesce("component", "name").alias("component")).agg(F.min("key").alias("key"))
+    chosen = first.select(F.col("key.doc_id").alias("__id"), F.col("key.mark").alias("__chosen"))
+    kept = marked(documents).join(chosen, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__mark") == F.col("__chosen")), "left_semi")
+    return kept.dropDuplicates(["doc_id", "__mark"]).select(*documents.columns)

@@ -1,0 +1,88 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+from llm.helpers import dicts, documents
+from llm.test_simhash import groups
+
+from tablemend.llm import near_copies as n
+from tablemend.llm.simhash import golay_errors
+
+
+def plain(text, size=5):
+    words = (text or "").lower().split()
+    return frozenset(tuple(words[k : k + size]) for k in range(max(1, len(words) - size + 1))) if words else frozenset()
+
+
+def alike(x, y):
+    return x == y or len(x & y) / len(x | y) >= 0.8
+
+
+def edited(rng, words, changes):
+    words = list(words)
+    for at in rng.sample(range(len(words)), changes):
+        words[at] = f"new{rng.randrange(10**9)}"
+    return words
+
+
+def corpus(rng):
+    """Copies with 0 to 9 of 300 words changed: similarities from 1 to below 0.8, in chains of copies of copies and in one group."""
+    rows = []
+    for _ in range(25):
+        words = [f"w{rng.randrange(5000)}" for _ in range(300)]
+        rows.append(" ".join(words))
+        for _ in range(3):
+            words = edited(rng, words, rng.randrange(10))
+            rows.append(" ".join(words))
+    base = [f"w{rng.randrange(5000)}" for _ in range(300)]
+    rows += [" ".join(edited(rng, base, rng.randrange(1, 6))) for _ in range(70)]
+    rng.shuffle(rows)
+    rows = [(3 * k, t) for k, t in enumerate(rows)]
+    return rows + [(1, None), (2, ""), (4, " \n"), (5, "One two"), (7, "one  two"), (None, "one two"), (None, "alone"), (0, rows[0][1]), (8, "a b " * 900)]
+
+
+@pytest.mark.parametrize("limits", [{}, {"small": 4, "neighbours": 1, "bucket": 7}])
+def test_against_brute_force(spark, limits):
+    rows = corpus(random.Random(5))
+    sets = {plain(t) for _, t in rows}
+    names = {x: k for k, x in enumerate(sets)}
+    by_name = list(names)
+    of = groups(set(names.values()), lambda x, y: alike(by_name[x], by_name[y]))
+    first = {}
+    for i, t in rows:
+        here = (i is None, i or 0)
+        first[of[names[plain(t)]]] = min(first.get(of[names[plain(t)]], here), here)
+    out = n.without_copies(documents(spark, rows, extra=True), **limits)
+    assert out.columns == documents(spark, [], extra=True).columns
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in dicts(out)) == sorted(first.values())
+    assert len(first) < len(sets) - 60
+
+
+def test_keys_find_similar_texts():
+    """Recall of the keys and both bounds at a similarity of just 0.8."""
+    rng, errors = random.Random(3), golay_errors()
+    found = total = 0
+    while total < 300:
+        words = [f"w{rng.randrange(9000)}" for _ in range(250)]
+        other = edited(rng, words, 6)
+        x, y = plain(" ".join(words)), plain(" ".join(other))
+        if not 0.8 <= len(x & y) / len(x | y) < 0.83:
+            continue
+        total += 1
+        prints = np.array([n.fingerprint(" ".join(t))[1] for t in (words, other)])
+        keys, owners = n.fuzzy_keys(prints, errors)
+        apart = np.bitwise_count(prints[0] ^ prints[1])
+        found += bool(set(keys[owners == 0]) & set(keys[owners == 1])) and apart[0] <= n.FIRST_RADIUS and apart.sum() <= n.RADIUS
+    assert found >= 0.97 * total
+
+
+def test_similar():
+    one = n.shingles("a b c d e f g h i")
+    assert one == [b"a b c d e", b"b c d e f", b"c d e f g", b"d e f g h", b"e f g h i"]
+    assert n.similar(set(one), set(one[:4])) and not n.similar(set(one), set(one[:3])) and n.similar(set(), set())
+
+
+def test_empty(spark):
+    assert n.without_copies(documents(spark, [])).count() == 0
