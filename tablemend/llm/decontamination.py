@@ -6,7 +6,8 @@ all positions, looked up in a small table of the pieces' first bytes, and compar
 where the item may lie; overlapping stretches are joined and verified with Myers' bit-parallel edit distance.
 
 Text and items are compared in lower case with white space as single spaces. The items are read in blocks of bounded
-size, each of which goes to the tasks with the code and is held against all documents; nothing is shuffled.
+size, each of which goes to the tasks with the code and is held against all documents. All but the last block are settled,
+and their results stored, before a third is read, so a plan holds one block; with one block nothing is shuffled.
 
 Defined cases: a NULL or empty text matches nothing, as does a NULL or empty item; items shorter than a piece are
 looked for as they are, without edits, between non-word characters; repeated documents or items give a row each; NULL
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablemend.llm.common import regrouped
+from tablemend.llm.common import regrouped, stored
 
 #: Edits allowed for each character, and the least characters of a piece.
 SHARE = 0.08
@@ -178,7 +179,7 @@ class Items:
 
 
 def item_blocks(benchmark: DataFrame, share: float = SHARE, block_chars: int = BLOCK_CHARS) -> Iterator[Items]:
-    """The items in blocks of bounded size; the driver holds one block at a time."""
+    """The items in blocks of bounded size; the driver holds a block and the one before it."""
     ids, texts, size = [], [], 0
     for r in benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string")).toLocalIterator():
         text = normal(r[1] or "")
@@ -217,10 +218,12 @@ def matched(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, bl
     The closest occurrence counts, the first of equals; start and end are code points of the normal text.
     """
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    out = documents.sparkSession.createDataFrame([], _COLUMNS)
+    out, last = documents.sparkSession.createDataFrame([], _COLUMNS), None
     for items in item_blocks(benchmark, share, block_chars):
-        out = out.unionByName(_found(read, items))
-    return out
+        if last is not None:
+            out = out.unionByName(stored(_found(read, last), "matches"))
+        last = items
+    return out if last is None else out.unionByName(_found(read, last))
 
 
 def without_leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHARE, block_chars: int = BLOCK_CHARS) -> DataFrame:
@@ -233,6 +236,21 @@ def without_leaks(documents: DataFrame, benchmark: DataFrame, share: float = SHA
             found = block.matches([normal(t or "") for t in batch.column(at).to_pylist()])
             yield batch.filter(pa.array([row not in found for row in range(batch.num_rows)], pa.bool_()))
 
+    def leaks(batches: Iterator[pa.RecordBatch], ids: list, texts: list[str]) -> Iterator[pa.RecordBatch]:
+        block = Items(ids, texts, share)
+        for batch in regrouped(batches, "text"):
+            found = block.matches([normal(t or "") for t in batch.column(0).to_pylist()])
+            yield batch.filter(pa.array([row in found for row in range(batch.num_rows)], pa.bool_())).select(["sha"])
+
+    # Whether a text leaks depends on the text alone: a block that is not the last leaves digests of leaking texts.
+    digest, gone, last = F.sha2("text", 256), None, None
     for items in item_blocks(benchmark, share, block_chars):
-        documents = documents.mapInArrow(lambda b, i=items.ids, t=items.texts: keep(b, i, t), documents.schema)
-    return documents
+        if last is not None:
+            read = documents.select(F.col("text").cast("string").alias("text"), digest.alias("sha"))
+            one = stored(read.mapInArrow(lambda b, i=last.ids, t=last.texts: leaks(b, i, t), "sha string").distinct(), "leaks")
+            gone = one if gone is None else gone.unionByName(one)
+        last = items
+    if last is None:
+        return documents
+    left = documents.mapInArrow(lambda b, i=last.ids, t=last.texts: keep(b, i, t), documents.schema)
+    return left if gone is None else left.join(gone.select(F.col("sha").alias("__leak")), digest == F.col("__leak"), "left_anti")

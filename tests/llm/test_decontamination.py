@@ -110,3 +110,16 @@ def test_empty(spark):
     some = documents(spark, [(1, "a passage that is long enough")])
     assert d.matched(some, none).count() == 0 and d.without_leaks(some, none).count() == 1
     assert d.matched(documents(spark, []), one).count() == 0 and d.matched(some, one).count() == 1
+
+
+def test_blocks_leave_the_plan(spark, monkeypatch):
+    """Results of all item blocks but the last are stored before the plan goes on, and the whole result is unchanged."""
+    names = []
+    monkeypatch.setattr(d, "stored", lambda df, name, keep=d.stored: names.append(name) or keep(df, name))
+    rows = [(1, "so says the first hidden item here"), (1, "so says the first hidden item here"), (2, "and the second hidden item there"), (3, "nothing of them"), (None, None), (4, "third hidden item")]
+    docs = documents(spark, rows)
+    items = spark.createDataFrame([(1, "the first hidden item"), (2, "the second hidden item"), (3, "third hidden item")], "item_id long, text string")
+    found = sorted((r["doc_id"], r["item_id"]) for r in dicts(d.matched(docs, items, block_chars=1)) if not r["distance"])
+    assert found == [(1, 1), (1, 1), (2, 2), (4, 3)] and names == ["matches"] * 2
+    assert sorted((r["doc_id"] or 0) for r in dicts(d.without_leaks(docs, items, block_chars=1))) == [0, 3]
+    assert names == ["matches"] * 2 + ["leaks"] * 2
