@@ -7,18 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablemend.llm import ann, chat, decontamination, packing, secret_scan, sharding, simhash, substring_dedup, toxicity, warc
+from tablemend.llm import ann, chat, decontamination, packing, secret_scan, sharding, simhash, substring_dedup, token_alignment, toxicity, vector_codes, vector_dedup, warc
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
-    """The public tokenizer file of the contract."""
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """A public tokenizer file of the contracts."""
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
@@ -77,13 +77,29 @@ def op10_chat(spark: SparkSession, folder: str) -> DataFrame:
     return chat.digests(chat.examples(said.unionByName(control)))
 
 
+def op11_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """The product code of every vector, with codebooks fitted on all."""
+    return vector_codes.digests(_table(spark, folder, "embeddings"))
+
+
+def op12_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    """The aligned tokens of two tokenizers over every document, with corpus-wide counts of the id pairs."""
+    return token_alignment.alignments(_table(spark, folder, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+
+
+def op13_vector_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate vectors within each label: links, component and what is kept."""
+    return vector_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = (
         op1_substring_dedup, op2_toxicity, op3_ann, op4_sharding, op5_packing, op6_decontamination, op7_secret_scan, op8_simhash, op9_warc, op10_chat,
+        op11_vector_codes, op12_token_alignment, op13_vector_dedup,
     )
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    """None of the ten can be told to DuckDB: they need XXH64, CRC-32, edit distances, fitted models or files."""
+    """None of them can be told to DuckDB: they need XXH64, CRC-32, edit distances, fitted models, tokenizers or files."""
     return {}
