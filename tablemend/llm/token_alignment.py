@@ -36,11 +36,15 @@ from tablemend.llm.common import regrouped, stored
 #: Chunks that a worker remembers (some 200 MB); beyond it, the older half goes.
 CACHED = 400_000
 HEAVY = 200_000
+#: Is any space of a text not a place to cut? Few texts have one; the others are cut at every space.
+_LOOSE = re.compile("[\\s▁] |^ | \\s| $")
 #: A space after other than white space (or the mark that stands for a space in pieces) and before other than white space.
 _TIGHT = re.compile("(?<=[^\\s▁]) (?=\\S)")
 #: An id pair is one number: the A id times this, plus the B id.
 WIDTH = 1 << 20
 _BAD = ("", b"", 0, 0, 0, -1)
+#: Chunks that are encoded as one text: what holds at the cuts of a text holds between chunks too.
+JOINED = 1024
 
 
 def byte_letters() -> dict[str, int]:
@@ -85,7 +89,9 @@ class Aligner:
             self.bytes_a[i] = bytes(letters[c] for c in entry) if all(c in letters for c in entry) else entry.encode()
         self.bytes_b = [self._piece(i) for i in range(self.b.get_piece_size())]
         self.size_a, self.size_b = (np.array([len(x) for x in t], np.int64) for t in (self.bytes_a, self.bytes_b))
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        numbers = range(max(len(self.bytes_a), len(self.bytes_b)))
+        self.names = [str(i) + mark for i in numbers for mark in ",|;"]
+        self.name_size = np.array([len(n) for n in self.names], np.int64)
         # A piece with a space behind other letters would reach over the cuts.
         pieces = (self.b.id_to_piece(i) for i in range(self.b.get_piece_size()))
         self.cuts = not any("▁" in p.lstrip("▁") for p in pieces)
@@ -98,25 +104,30 @@ class Aligner:
     def aligned(self, texts: list[str]) -> list[tuple]:
         """(groups, packed links, A tokens, B tokens, groups, 1) of each text, which a space is put before; _BAD where the bytes differ."""
         found: list[tuple] = [_BAD] * len(texts)
-        whole, a_ids, b_ids, sizes = [], [], [], []
-        for at in range(0, len(texts), 4096):
-            part = texts[at : at + 4096]
-            encoded = self.a.encode_batch_fast([" " + t for t in part], add_special_tokens=False)
-            for k, (e, b) in enumerate(zip(encoded, self.b.encode(part, num_threads=1), strict=True), start=at):
-                a, wanted = e.ids, (" " + texts[k]).encode()
-                if b"".join(map(self.bytes_a.__getitem__, a)) == wanted == b"".join(map(self.bytes_b.__getitem__, b)):
-                    whole.append(k)
-                    a_ids.append(a)
-                    b_ids.append(b)
-                    sizes.append(len(wanted))
-        if whole:
-            for k, row in zip(whole, self._groups(a_ids, b_ids), strict=True):
-                found[k] = row
+        plain = [k for k, t in enumerate(texts) if self.cuts and t and not t[-1].isspace() and "▁" not in t]
+        alone = set(range(len(texts))).difference(plain)
+        waiting = [[k] for k in alone] + [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        while waiting:
+            whole, a_lists, b_lists, again = [], [], [], []
+            for unit in waiting:
+                text = " ".join([texts[k] for k in unit])
+                a, b = self.a.encode(" " + text, add_special_tokens=False).ids, self.b.encode(text)
+                if b"".join(map(self.bytes_a.__getitem__, a)) == (" " + text).encode() == b"".join(map(self.bytes_b.__getitem__, b)):
+                    whole += unit
+                    a_lists.append(a)
+                    b_lists.append(b)
+                elif len(unit) > 1:
+                    again += [unit[: len(unit) // 2], unit[len(unit) // 2 :]]
+            if whole:
+                sizes = np.array([len(texts[k].encode()) + 1 for k in whole], np.int64)
+                for k, row in zip(whole, self._groups(a_lists, b_lists, sizes), strict=True):
+                    found[k] = row
+            waiting = again
         return found
 
-    def _groups(self, a_lists: list[list[int]], b_lists: list[list[int]]) -> Iterator[tuple]:
-        """Align lists of tokens of the same bytes, all at once."""
-        a, b = (np.fromiter((i for ids in lists for i in ids), np.int64) for lists in (a_lists, b_lists))
+    def _groups(self, a_lists: list[list[int]], b_lists: list[list[int]], sizes: np.ndarray) -> Iterator[tuple]:
+        """Align tokens of the same bytes, all at once; a row for each text, whose sizes in bytes are given."""
+        a, b = (np.concatenate([np.array(ids, np.int64) for ids in lists]) for lists in (a_lists, b_lists))
         a_end, b_end = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
         a_start, b_start = a_end - self.size_a[a], b_end - self.size_b[b]
         last = terminals(successors(a_start, a_end, b_start, b_end))
@@ -124,9 +135,9 @@ class Aligner:
         order = np.argsort(2 * last + (np.arange(len(last)) >= len(a)), kind="stable")
         group, second = last[order], order >= len(a)
         same, across = group[1:] == group[:-1], second[1:] != second[:-1]
-        marks = np.append(np.where(same, np.where(across, 1, 0), 2), 2).tolist()
-        ids = np.concatenate([a, b])[order].tolist()
-        parts = [self.names[i] + ",|;"[m] for i, m in zip(ids, marks, strict=True)]
+        named = 3 * np.concatenate([a, b])[order] + np.append(np.where(same, np.where(across, 1, 0), 2), 2)
+        text = "".join(map(self.names.__getitem__, named.tolist()))
+        letters = np.concatenate([[0], np.cumsum(self.name_size[named])])
         # Overlapping pairs: from the first B token that ends behind an A token's start to the last that starts before its end.
         low, high = np.searchsorted(b_end, a_start, side="right"), np.searchsorted(b_start, a_end, side="left")
         held = high - low
@@ -134,18 +145,25 @@ class Aligner:
         other = np.arange(len(of)) - np.repeat(np.cumsum(held) - held, held) + low[of]
         pairs = (a[of] * WIDTH + b[other]).tobytes()
         pair_ends = np.concatenate([[0], np.cumsum(held)])
-        a_bound = np.concatenate([[0], np.cumsum([len(x) for x in a_lists])])
-        b_bound = np.concatenate([[0], np.cumsum([len(x) for x in b_lists])])
+        ends = np.cumsum(sizes)
+        a_bound, b_bound = (np.concatenate([[0], np.searchsorted(e, ends, side="right")]) for e in (a_end, b_end))
+        if (a_end[a_bound[1:] - 1] != ends).any() or (b_end[b_bound[1:] - 1] != ends).any():
+            raise ValueError("a token reaches over the end of a text")
         heads = np.concatenate([[0], np.cumsum(np.append(~same, True))])
         bound = a_bound + b_bound
-        ends, links, groups = bound.tolist(), (8 * pair_ends[a_bound]).tolist(), np.diff(heads[bound]).tolist()
-        n_a, n_b = np.diff(a_bound).tolist(), np.diff(b_bound).tolist()
-        for k in range(len(a_lists)):
-            yield "".join(parts[ends[k] : ends[k + 1]])[:-1], pairs[links[k] : links[k + 1]], n_a[k], n_b[k], groups[k], 1
+        places, links = letters[bound].tolist(), (8 * pair_ends[a_bound]).tolist()
+        counts = zip(np.diff(a_bound).tolist(), np.diff(b_bound).tolist(), np.diff(heads[bound]).tolist(), strict=True)
+        for k, (n_a, n_b, n_groups) in enumerate(counts):
+            yield text[places[k] : places[k + 1] - 1], pairs[links[k] : links[k + 1]], n_a, n_b, n_groups, 1
+
+    def _chunks(self, text: str) -> list[str]:
+        if not self.cuts:
+            return [text]
+        return _TIGHT.split(text) if _LOOSE.search(text) else text.split(" ")
 
     def __call__(self, texts: list[str | None]) -> Iterator[tuple]:
         """As `aligned`, for whole texts put together from chunks."""
-        cut = [(_TIGHT.split(t) if self.cuts else [t]) if t else [] for t in texts]
+        cut = [self._chunks(t) if t else [] for t in texts]
         wanted = set().union(*cut)
         missing = [c for c in wanted if c not in self.known]
         if len(self.known) + len(missing) > CACHED:
