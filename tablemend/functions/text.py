@@ -112,8 +112,10 @@ def greek_words_to_letters(col: Column) -> Column:
     """
     out = col
     for _, word, letter in sorted(GREEK, key=lambda g: -len(g[1])):
-        out = F.regexp_replace(out, word if len(word) > 3 and word != "iota" else rf"\b{word}\b", letter)
-    return out
+        inside = len(word) > 3 and word != "iota"
+        out = F.replace(out, F.lit(word), F.lit(letter)) if inside else F.regexp_replace(out, rf"\b{word}\b", letter)
+    # Few texts hold such a word.
+    return F.when(col.rlike("|".join(word for _, word, _ in GREEK)), out).otherwise(col)
 
 
 def _folded_letters() -> tuple[str, str, list[tuple[str, str]]]:
@@ -149,12 +151,15 @@ def to_ascii(col: Column) -> Column:
     """
     chars, plain, longer = _folded_letters()
     single = [(char, text) for char, text in PLAIN_LETTERS if len(text) == 1]
-    longer = longer + [(char, text) for char, text in PLAIN_LETTERS if len(text) > 1]
-    spelled = col
-    for char, text in longer:
-        spelled = F.replace(spelled, F.lit(char), F.lit(text))
-    rare = "".join(char for char, _ in longer)
-    spelled = F.when(col.rlike(f"[{rare}]"), spelled).otherwise(col)
+
+    def spelled_out(text: Column, letters: list[tuple[str, str]]) -> Column:
+        out = text
+        for char, plain_text in letters:
+            out = F.replace(out, F.lit(char), F.lit(plain_text))
+        return F.when(col.rlike(f"[{''.join(char for char, _ in letters)}]"), out).otherwise(text)
+
+    # Letters of living spelling in one pass, ligatures and the like in another that few texts need.
+    spelled = spelled_out(spelled_out(col, [(char, text) for char, text in PLAIN_LETTERS if len(text) > 1]), longer)
     bare = F.when(col.rlike(r"[\u0300-\u036F]"), F.regexp_replace(spelled, r"[\u0300-\u036F]", "")).otherwise(spelled)
     folded = F.translate(bare, GREEK_SYMBOLS + chars + "".join(c for c, _ in single), GREEK_LETTERS + plain + "".join(t for _, t in single))
     return F.when(col.rlike(r"[^\x00-\x7F]"), folded).otherwise(col)

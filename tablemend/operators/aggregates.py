@@ -12,8 +12,7 @@ from pyspark.sql import functions as F
 
 from tablemend.functions.nulls import distinct_with_null
 from tablemend.operators.columns import col
-from tablemend.operators.joins import HOT_ROWS, attach_groups, left_join
-from tablemend.operators.sets import union_sources
+from tablemend.operators.joins import HOT_ROWS, attach_groups, rows_of_groups
 
 
 def collapse_groups(df: DataFrame, keys: Sequence[str], columns: Sequence[str], sep: str = ", ", null_text: str = "NA") -> DataFrame:
@@ -54,33 +53,45 @@ def conflicts(df: DataFrame, determinant: Sequence[str], dependent: str, hot_row
         .groupBy(*[col(d) for d in keys], col(dependent).cast("string").alias("found_value"))
         .agg(F.count(F.lit(1)).alias("n_rows"))
     )
-    several = (
-        found.groupBy(*[col(d) for d in keys])
-        .agg(F.count(F.lit(1)).alias("n_values"), F.sum("n_rows").alias("n_group"))
-        .where("n_values > 1")
-    )
-    return left_join(found, several, keys, nulls="never", right_unique=True, hot_rows=hot_rows).where("n_values > 1")
+    return _contested(found, keys, hot_rows)
+
+
+def _contested(found: DataFrame, keys: Sequence[str], hot_rows: int | None) -> DataFrame:
+    """Of (determinant, value, number of rows), what belongs to determinants with several values."""
+    sums = {"n_values": F.count(F.lit(1)), "n_group": F.sum("n_rows")}
+    return attach_groups(found, keys, sums, nulls="never", hot_rows=hot_rows).where("n_values > 1")
 
 
 def conflict_report(df: DataFrame, rules: Sequence[tuple[Sequence[str], str]], hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """All conflicts of several (determinant, dependent) rules in one long table."""
-    parts = []
-    for determinant, dependent in rules:
-        parts.append(conflicts(df, determinant, dependent, hot_rows).select(
-            F.lit("+".join(determinant)).alias("determinant"),
-            F.lit(dependent).alias("dependent"),
-            F.concat_ws("|", *[col(d).cast("string") for d in determinant]).alias("determinant_value"),
-            "found_value",
-            "n_rows",
-            "n_values",
-            "n_group",
-        ))
-    return union_sources(parts)
+    """All conflicts of several (determinant, dependent) rules in one long table, from one pass over the rows.
+
+    Each row becomes one (rule, determinant, value) row per rule whose columns it knows; these are counted,
+    combined on the map side, and everything else works on the counts.
+    """
+    asked = []
+    for number, (determinant, dependent) in enumerate(rules):
+        known = col(dependent).isNotNull()
+        for d in determinant:
+            known = known & col(d).isNotNull()
+        values = F.array(*[col(d).cast("string") for d in determinant])
+        asked.append(F.when(known, F.struct(F.lit(number).alias("rule"), values.alias("values"), col(dependent).cast("string").alias("found_value"))))
+    long = df.select(F.inline(F.array_compact(F.array(*asked))))
+    found = long.groupBy("rule", "values", "found_value").agg(F.count(F.lit(1)).alias("n_rows"))
+    named = [F.array(*[F.lit(text) for text in texts]) for texts in (["+".join(d) for d, _ in rules], [d for _, d in rules])]
+    return _contested(found, ["rule", "values"], hot_rows).select(
+        F.get(named[0], "rule").alias("determinant"),
+        F.get(named[1], "rule").alias("dependent"),
+        F.array_join("values", "|").alias("determinant_value"),
+        "found_value",
+        "n_rows",
+        "n_values",
+        "n_group",
+    )
 
 
 def groups_where(df: DataFrame, keys: Sequence[str], condition: Column, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """All rows of the groups for which an aggregate condition holds."""
-    return attach_groups(df, keys, {"__keep": condition}, hot_rows=hot_rows).where("__keep").drop("__keep")
+    return rows_of_groups(df, keys, condition, hot_rows)
 
 
 def repeated_in_group(df: DataFrame, keys: Sequence[str], value: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:

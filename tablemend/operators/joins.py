@@ -27,6 +27,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType, DataType, FractionalType
 
 from tablemend.operators.columns import col
 from tablemend.operators.guards import stop_on
@@ -324,6 +325,35 @@ def attach_groups(
     return joined.select(*[col(c) for c in df.columns], *[v.alias(n) for n, v in value.items()])
 
 
+def rows_of_groups(df: DataFrame, keys: Sequence[str], condition: Column, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+    """All rows of the groups for which an aggregate condition holds.
+
+    The groups are summed up once, combined on the map side, and only the summary is filtered; its groups
+    meet the rows in a semi join that passes nothing but the rows wanted. The summary tells the hot groups too:
+    their rows are cut into sub-keys if wanted, and dropped before the shuffle if not.
+    """
+    names = key_names(len(keys))
+    keyed = _with_keys(df, [col(k) for k in keys])
+    summary = keyed.groupBy(*names).agg(F.count(F.lit(1)).alias("__size"), condition.alias("__keep"))
+    kept = summary.where("__keep")
+    wanted = kept.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(names)])
+    pairs = [(F.col(k), F.col(r)) for k, r in zip(names, wanted.columns)]
+    if hot_rows is None or known_small(summary):
+        return keyed.join(wanted, _all_equal(pairs, "match"), "left_semi").select(*[col(c) for c in df.columns])
+    parts = F.ceil(F.col("__size") / hot_rows).cast("int")
+    # As many rows as hot_rows goes into the table at most; a group that is not wanted has no sub-key.
+    hot = summary.where(F.col("__size") > hot_rows).select(
+        *[F.col(k).alias(f"{k}_hot") for k in names], F.when(F.col("__keep"), parts).otherwise(F.lit(0)).alias("__parts")
+    )
+    met = _all_equal([(F.col(k), F.col(f"{k}_hot")) for k in names], "match")
+    scanned = in_scan_order(keyed)
+    marked = keyed.join(F.broadcast(hot), met, "left").where("__parts IS NULL OR __parts > 0").withColumn("__parts", F.coalesce("__parts", F.lit(1)))
+    marked = _spread(marked.drop(*[f"{k}_hot" for k in names]), F.col("__parts"), "__ls", scanned=scanned)
+    own = F.when(F.col("__size") > hot_rows, parts).otherwise(F.lit(1))
+    wanted = kept.select(*[F.col(k).alias(f"__r{i}") for i, k in enumerate(names)], F.explode(F.sequence(F.lit(0), own - 1)).alias("__rls"))
+    return marked.join(wanted, _all_equal(pairs, "match") & (F.col("__ls") == F.col("__rls")), "left_semi").select(*[col(c) for c in df.columns])
+
+
 def _exists(left: DataFrame, right: DataFrame, on, nulls: str, how: str, small: bool, hot_rows: int | None, right_unique: bool = False) -> DataFrame:
     pairs = key_pairs(on)
     keyed = _with_keys(left, [col(l) for l, _ in pairs])
@@ -376,32 +406,52 @@ def full_join(
     """All rows of both tables; without ``on`` all shared columns are the key.
 
     ``one_to_many`` states that no right row meets two left rows; the job stops if one does.
-    A full outer join cannot be split when one key is hot, so it is built as
-    left join plus the unmatched right rows; ``hot_rows=None`` uses Spark's own.
+    One count of both sides finds the hot keys; both sides are then cut into sub-keys as
+    in a left join, and Spark's own full join runs over (key, sub-key). A row of a hot key
+    whose partners lie in other sub-keys only is left out there, as its key is known to
+    have partners. ``hot_rows=None`` leaves the join wholly to Spark.
     """
     pairs = key_pairs(shared_columns(left, right) if on is None else on)
     names = _payload(left, right, [r for _, r in pairs], suffix)
     if one_to_many:
         whole = full_join(left, right, pairs, nulls, suffix, right_unique, hot_rows=hot_rows)
         return stop_on(whole, repeated_partners(left, right, pairs, nulls), "a right row meets more than one left row")
-    if hot_rows is None:
-        keyed = _with_keys(left, [col(l) for l, _ in pairs])
-        side = _right_side(right, pairs, names)
-        right_keys = side.columns[: len(pairs)]
-        condition = _all_equal([(F.col(a), F.col(b)) for a, b in zip(key_names(len(pairs)), right_keys)], nulls)
-        merged = {l: F.coalesce(col(l), F.col(r)) for (l, _), r in zip(pairs, right_keys)}
-        return keyed.join(side, condition, "full").select(
-            *[merged.get(c, col(c)).alias(c) for c in left.columns], *[col(c) for c in names.values()]
-        )
-    matched = left_join(left, right, pairs, nulls, suffix, right_unique=right_unique, hot_rows=hot_rows)
-    rest = anti_join(right, left, [(r, l) for l, r in pairs], nulls, hot_rows=hot_rows)
-    to_left = {l: r for l, r in pairs}
-    types = dict(left.dtypes)
-    appended = rest.select(
-        *[col(to_left[c]).alias(c) if c in to_left else F.lit(None).cast(types[c]).alias(c) for c in left.columns],
-        *[col(old).alias(new) for old, new in names.items()],
+    keys = key_names(len(pairs))
+    keyed = _with_keys(left, [col(l) for l, _ in pairs])
+    side = _right_side(right, pairs, names)
+    right_keys = side.columns[: len(pairs)]
+    condition = _all_equal([(F.col(a), F.col(b)) for a, b in zip(keys, right_keys)], nulls)
+    stray = F.lit(False)
+    if hot_rows is not None and not (known_small(keyed) and known_small(side)):
+        keyed, side = _cut_both(keyed, side, keys, right_keys, nulls, hot_rows)
+        condition = condition & (F.col("__ls") == F.col("__rls")) & (F.col("__lrs") == F.col("__rs"))
+        # A hot key with rows on both sides has partners; what found none in its sub-key is no result.
+        stray = F.coalesce((F.col("__rs").isNull() & F.col("__lmet")) | (F.col("__ls").isNull() & F.col("__rmet")), F.lit(False))
+    merged = {l: F.coalesce(col(l), F.col(r)) for (l, _), r in zip(pairs, right_keys)}
+    return keyed.join(side, condition, "full").where(~stray).select(
+        *[merged.get(c, col(c)).alias(c) for c in left.columns], *[col(c) for c in names.values()]
     )
-    return matched.unionByName(appended)
+
+
+def _cut_both(keyed: DataFrame, side: DataFrame, keys: Sequence[str], right_keys: Sequence[str], nulls: str, hot_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Sub-keys for both sides of a full join, and for each row whether its key is hot and has rows on both sides."""
+    left_scanned, right_scanned = in_scan_order(keyed), in_scan_order(side)
+    renamed = side.withColumnsRenamed(dict(zip(right_keys, keys)))
+    counted = [d.select(*keys) if nulls == "match" else d.select(*keys).dropna() for d in (keyed, renamed)]
+    hot = hot_keys(keys, hot_rows, __lhot=counted[0], __rhot=counted[1])
+    both = (F.col("__lhot") > 0) & (F.col("__rhot") > 0)
+    hot = hot.withColumn("__met", both).withColumn("__lhot", F.greatest("__lhot", F.lit(1))).withColumn("__rhot", F.greatest("__rhot", F.lit(1)))
+    loose = None if nulls == "match" else _any_null(keys)
+
+    def cut(df: DataFrame, own: str, other: str, sub: str, repeated: str, met: str, scanned: bool) -> DataFrame:
+        marked = mark_hot(df, hot, keys, ["__lhot", "__rhot"]).withColumnRenamed("__met", met)
+        # Without partners a row need not be repeated.
+        times = F.when(F.coalesce(F.col(met), F.lit(False)), F.col(other)).otherwise(F.lit(1))
+        return _repeat(_spread(marked, F.col(own), sub, loose, scanned), times, repeated).drop("__lhot", "__rhot")
+
+    left = cut(keyed, "__lhot", "__rhot", "__ls", "__lrs", "__lmet", left_scanned)
+    right = cut(renamed, "__rhot", "__lhot", "__rs", "__rls", "__rmet", right_scanned)
+    return left, right.withColumnsRenamed(dict(zip(keys, right_keys)))
 
 
 def in_column(df: DataFrame, column: str, values: DataFrame, value_column: str, flag: str, hot_rows: int | None = HOT_ROWS) -> DataFrame:
@@ -427,41 +477,102 @@ def join_any(
 ) -> DataFrame:
     """Left join on the first key that matches; each key is tried only for rows still unmatched.
 
-    A join on ``a = a OR b = b`` would be a nested loop. Here every pass is an
-    equi-join in one chain that reads ``x`` once: rows already matched get a
-    NULL key, which meets nothing. ``y``'s key columns are not carried over.
+    A join on ``a = a OR b = b`` would be a nested loop. Here the distinct key
+    combinations of ``x`` and the rows of ``y`` become (pass, key) rows that meet in one
+    equi-join, whatever the number of keys; the first pass of each combination is then
+    joined back, so ``x`` itself is shuffled once. ``y``'s key columns are not carried over.
     """
     return _passes(x, y, [[k] for k in keys], nulls, pass_column, right_unique, hot_rows)
 
 
 def _passes(x, y, passes, nulls, pass_column, right_unique, hot_rows) -> DataFrame:
     pass_pairs = [key_pairs(p) for p in passes]
+    payload = _cascade_payload(x, y, pass_pairs)
+    lefts, found = first_matches(x, y, passes, payload, nulls, right_unique, hot_rows)
+    return _attached(x, lefts, found, payload, pass_pairs, nulls, pass_column, right_unique, hot_rows)
+
+
+def _cascade_payload(x: DataFrame, y: DataFrame, pass_pairs) -> list[str]:
     right_keys = {r for pairs in pass_pairs for _, r in pairs}
     payload = [c for c in y.columns if c not in right_keys]
     clash = [c for c in payload if c in x.columns]
     if clash:
         raise ValueError(f"both tables have {clash}; rename or drop them first")
-    packed = F.struct(F.lit(True).alias("__present"), *[col(c) for c in payload])
-    hit_type = y.select(packed.alias("h")).schema["h"].dataType
-    out = x.withColumns({"__found": F.lit(None).cast(hit_type), "__pass": F.lit(None).cast("int")})
-    for number, pairs in enumerate(pass_pairs, start=1):
-        open_row = F.col("__found").isNull()
-        side = y.select(*[col(r).alias(f"__r{i}") for i, (_, r) in enumerate(pairs)], packed.alias("__new"))
-        if nulls == "match":
-            # A constant key keeps finished rows apart; their NULL keys would meet NULL.
-            side = side.withColumn(f"__r{len(pairs)}", F.lit(1))
-            keys = [col(l) for l, _ in pairs] + [F.when(open_row, 1).otherwise(0)]
-            counted = _with_keys(x, [col(l) for l, _ in pairs] + [F.lit(1)])
-        else:
-            keys = [F.when(open_row, col(l)) for l, _ in pairs]
-            counted = _with_keys(x, [col(l) for l, _ in pairs])
-        out = _left_keyed(
-            _with_keys(out, keys), side, len(keys), nulls, hot_rows, right_unique, counted, unmatchable=~open_row
-        )
-        out = out.withColumns({
-            "__found": F.coalesce(F.col("__found"), F.col("__new")),
-            "__pass": F.coalesce(F.col("__pass"), F.when(F.col("__hit"), F.lit(number))),
-        }).drop("__new", "__hit", *key_names(len(keys)))
+    return payload
+
+
+def _key_text(name: str, kind: DataType, nulls: str) -> Column:
+    """A key as text of a type that both sides have in common; equal texts are equal keys."""
+    value = col(name).cast(kind)
+    if isinstance(kind, FractionalType):
+        # No negative zero.
+        value = value + F.lit(0).cast(kind)
+    text = value.cast("string") if isinstance(kind, AtomicType) else F.to_json(F.struct(value))
+    return text if nulls == "never" else F.coalesce(F.concat(F.lit("="), text), F.lit("-"))
+
+
+def _pass_rows(df: DataFrame, keys: Sequence[Sequence[Column]], kept: Sequence[Column]) -> DataFrame:
+    """A row for each pass whose keys are known: __pass, and its keys as __k0, __k1, ..."""
+    width = max(len(k) for k in keys)
+    choices = []
+    for number, values in enumerate(keys, start=1):
+        named = [v.alias(n) for v, n in zip([*values, *[F.lit("")] * (width - len(values))], key_names(width))]
+        known = values[0].isNotNull()
+        for v in values[1:]:
+            known = known & v.isNotNull()
+        choices.append(F.when(known, F.struct(F.lit(number).alias("__pass"), *named)))
+    return df.select(*kept, F.inline(F.array_compact(F.array(*choices))))
+
+
+def first_matches(
+    x: DataFrame,
+    y: DataFrame,
+    passes: Sequence[str | Sequence[Key]],
+    payload: Sequence[str],
+    nulls: str = "never",
+    right_unique: bool = False,
+    hot_rows: int | None = HOT_ROWS,
+) -> tuple[list[str], DataFrame]:
+    """What a cascade attaches to each key combination of ``x``: the names of the keys, and a table of
+    them (as ``__c0``, ``__c1``, ...) with ``__pass`` and the ``payload`` columns of the ``y`` rows as ``__found``.
+
+    Combinations that match nothing are left out.
+    """
+    if nulls not in ("match", "never"):
+        raise ValueError(f"nulls must be 'match' or 'never', not {nulls!r}")
+    pass_pairs = [key_pairs(p) for p in passes]
+    lefts = list(dict.fromkeys(l for pairs in pass_pairs for l, _ in pairs))
+    places = {l: f"__c{i}" for i, l in enumerate(lefts)}
+    combinations = x.select(*[col(l).alias(c) for l, c in places.items()]).distinct()
+    kinds = {}
+    for l, r in {pair for pairs in pass_pairs for pair in pairs}:
+        both = F.coalesce(F.lit(None).cast(x.schema[l].dataType), F.lit(None).cast(y.schema[r].dataType))
+        kinds[l, r] = x.sparkSession.range(0).select(both.alias("k")).schema["k"].dataType
+    left_keys = [[_key_text(places[l], kinds[l, r], nulls) for l, r in pairs] for pairs in pass_pairs]
+    right_keys = [[_key_text(r, kinds[l, r], nulls) for l, r in pairs] for pairs in pass_pairs]
+    asked = _pass_rows(combinations, left_keys, [F.col(c) for c in places.values()])
+    packed = F.struct(F.lit(True).alias("__present"), *[col(c) for c in payload]).alias("__found")
+    told = _pass_rows(y, right_keys, [packed])
+    keys = [c for c in asked.columns if c not in places.values()]
+    names = key_names(len(keys))
+    asked = _with_keys(asked.withColumnsRenamed({k: f"__t_{k}" for k in keys}), [F.col(f"__t_{k}") for k in keys])
+    told = told.withColumnsRenamed({k: f"__r{i}" for i, k in enumerate(keys)})
+    met = _left_keyed(asked, told, len(keys), "never", hot_rows, right_unique).where("__hit").drop("__hit", *names)
+    met = met.withColumnRenamed("__t___pass", "__pass").select(*places.values(), "__pass", "__found")
+    if right_unique:
+        return lefts, met.groupBy(*places.values()).agg(F.min("__pass").alias("__pass"), F.min_by("__found", "__pass").alias("__found"))
+    first = attach_groups(met, list(places.values()), {"__first": F.min("__pass")}, hot_rows=hot_rows)
+    return lefts, first.where("__pass = __first").drop("__first")
+
+
+def _attached(x, lefts, found, payload, pass_pairs, nulls, pass_column, right_unique, hot_rows) -> DataFrame:
+    """The rows of ``x`` with what their key combination found."""
+    side = found.withColumnsRenamed({f"__c{i}": f"__r{i}" for i in range(len(lefts))})
+    unmatchable = None
+    if nulls == "never":
+        open_pass = [[col(l).isNotNull() for l, _ in pairs] for pairs in pass_pairs]
+        unmatchable = ~F.greatest(*[F.least(*p, F.lit(True)) for p in open_pass], F.lit(False))
+    out = _left_keyed(_with_keys(x, [col(l) for l in lefts]), side, len(lefts), "match", hot_rows, right_unique, unmatchable=unmatchable)
     extra = [] if pass_column is None else [F.col("__pass").alias(pass_column)]
     return out.select(*[col(c) for c in x.columns], *[F.col("__found")[c].alias(c) for c in payload], *extra)
 
@@ -477,10 +588,13 @@ def match_cascade(
     hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Try key sets from strong to weak, then append the ``y`` rows whose ``name`` was never used."""
-    matched = _passes(x, y, passes, nulls, pass_column, False, hot_rows)
     if not append_rest:
-        return matched
-    rest = unused_rows(x, y, passes, [name], nulls, hot_rows)
+        return _passes(x, y, passes, nulls, pass_column, False, hot_rows)
+    pass_pairs = [key_pairs(p) for p in passes]
+    payload = _cascade_payload(x, y, pass_pairs)
+    lefts, found = first_matches(x, y.withColumn("__own_name", col(name)), passes, [*payload, "__own_name"], nulls, False, hot_rows)
+    matched = _attached(x, lefts, found, payload, pass_pairs, nulls, pass_column, False, hot_rows)
+    rest = anti_join(y, found.select(F.col("__found.__own_name").alias("__own_name")), [(name, "__own_name")], hot_rows=hot_rows)
     kept = [c for c in rest.columns if c in matched.columns]
     return matched.unionByName(rest.select(*[col(c) for c in kept]), allowMissingColumns=True)
 
@@ -499,11 +613,10 @@ def unused_rows(
     cascade attaches depends on the keys alone, so it runs over the distinct key
     combinations of ``x``, not over its rows again.
     """
-    keys = list(dict.fromkeys(left for p in passes for left, _ in key_pairs(p)))
-    combinations = x.select(*[col(k) for k in keys]).distinct()
     own = {c: f"__own_{c}" for c in on}
     marked = y.withColumns({copy: col(c) for c, copy in own.items()})
-    used = _passes(combinations, marked, passes, nulls, "__matched_in", False, hot_rows).where("__matched_in IS NOT NULL")
+    _, found = first_matches(x, marked, passes, list(own.values()), nulls, False, hot_rows)
+    used = found.select(*[F.col("__found")[copy].alias(copy) for copy in own.values()])
     return anti_join(y, used, list(own.items()), hot_rows=hot_rows)
 
 

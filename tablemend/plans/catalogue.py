@@ -14,6 +14,7 @@ from tablemend.operators import columns as c
 from tablemend.operators.aggregates import collapse_groups, count_by, elect
 from tablemend.operators.columns import col
 from tablemend.operators.fill import fill_by_group
+from tablemend.operators.identity import Identifier, resolve
 from tablemend.operators.joins import HOT_ROWS, join_any, left_join
 from tablemend.operators.rows import apply_corrections, rows_patch
 from tablemend.operators.sets import union_sources, upsert_union
@@ -254,19 +255,26 @@ def merge_back(
 
 def standardise_names(
     catalogue: DataFrame,
-    identity: Sequence[str],
+    identity: Sequence[Identifier],
     name: str = "Antigen",
     label: str = "Study",
     standard: str = "Antigen_std",
     preference: Column | None = None,
     hot_rows: int | None = HOT_ROWS,
+    linked: bool = False,
+    most_items: int | None = None,
 ) -> DataFrame:
     """One standard name per identity; rows without an identity take the one of their name and source.
 
+    The identity columns together are one identity; with ``linked`` each is an identifier of its own, and rows
+    that share any of them, directly or over other rows, have one identity (see ``identity.resolve``, also for ``most_items``).
     The standard is the name most rows of the identity use; ``preference`` is a
     function of the name. Everything is decided on counts of (name, source,
     identity); the rows themselves are only read to attach the result.
     """
+    if linked:
+        resolved = resolve(catalogue, identity, "__identity", most_items, hot_rows)
+        return standardise_names(resolved, ["__identity"], name, label, standard, preference, hot_rows).drop("__identity")
     counts = count_by(catalogue, _unique([name, label, *identity]), "__n_rows")
     elected = elect(counts.dropna(subset=list(identity)), identity, name, standard, preference, "__n_rows")
     voted = left_join(counts, elected, list(identity), nulls="never", right_unique=True, hot_rows=hot_rows)

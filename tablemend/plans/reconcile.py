@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from tablemend.operators import columns as c
 from tablemend.operators.aggregates import count_by, null_out_ambiguous
 from tablemend.operators.columns import col
-from tablemend.operators.joins import HOT_ROWS, left_join, match_cascade, semi_join, unused_rows
+from tablemend.operators.joins import HOT_ROWS, left_join, match_cascade, unused_rows
 from tablemend.operators.sets import one_sided, union_sources
 from tablemend.sources.tables import cut_lineage
 
@@ -195,8 +195,8 @@ def merge_indistinct(
 def observed_names(names: DataFrame, accessions: DataFrame, accession: str = "accession", name: str = "data_name") -> DataFrame:
     """(Study, Data_Name, file) from names per accession and the accession of each source."""
     pairs = accessions.select(col("Study").alias(LABEL), col("Accession").alias(accession)).distinct()
-    known = semi_join(names, pairs, accession, nulls="never")
-    return left_join(known, pairs, accession, nulls="never").withColumnRenamed(name, NAME)
+    met = left_join(names, pairs.withColumn("__known", F.lit(True)), accession, nulls="never")
+    return met.where("__known").drop("__known").withColumnRenamed(name, NAME)
 
 
 # How a file name tells the accession, tried in this order, and a wrong accession in the list of papers.

@@ -15,6 +15,7 @@ from tablemend.functions.nulls import matches
 from tablemend.functions.text import squish
 from tablemend.operators import columns as c
 from tablemend.operators.columns import col
+from tablemend.operators.identity import Identifier
 from tablemend.operators.joins import HOT_ROWS, left_join
 from tablemend.operators.rows import rows_patch
 from tablemend.plans import catalogue as cat
@@ -92,9 +93,11 @@ def _barcodes(base: DataFrame, known: DataFrame, labels: Sequence[str], hot_rows
     return joined.withColumn("Barcode_Sequence", filled).drop("__barcode")
 
 
-def standardise_catalogue(catalogue: DataFrame, identity: Sequence[str] = ("ALT_ID",), hot_rows: int | None = HOT_ROWS) -> DataFrame:
-    """One standard name per identity."""
-    return cat.standardise_names(catalogue, identity, hot_rows=hot_rows)
+def standardise_catalogue(
+    catalogue: DataFrame, identity: Sequence[Identifier] = ("ALT_ID",), hot_rows: int | None = HOT_ROWS, linked: bool = False, most_items: int | None = None
+) -> DataFrame:
+    """One standard name per identity; with ``linked`` rows that share any of the identifiers have one identity."""
+    return cat.standardise_names(catalogue, identity, hot_rows=hot_rows, linked=linked, most_items=most_items)
 
 
 def run_all(

@@ -18,7 +18,7 @@ def fill_down_events(t):
     events = t.events.select(
         "event_id", "user_id", "ts", F.when(~F.col("event_type").isin("view", "error"), F.col("value")).alias("value")
     )
-    return fill_down(events, ["value"], ["user_id"], ["ts", "event_id"], chunk=F.date_trunc("minute", "ts"))
+    return fill_down(events, ["value"], ["user_id"], ["ts", "event_id"])
 
 
 @query("q58_grouped_fill", """
@@ -32,7 +32,7 @@ def grouped_fill(t):
         "event_id", "user_id", "event_type", "ts",
         F.when(value > 60, F.col("props")).alias("props"), F.when(value < 50, value).alias("value"),
     )
-    filled = fill_down(events, ["value", "props"], ["user_id", "event_type"], ["ts", "event_id"], chunk=F.date_trunc("minute", "ts"))
+    filled = fill_down(events, ["value", "props"], ["user_id", "event_type"], ["ts", "event_id"])
     return filled.drop("ts")
 
 

@@ -11,6 +11,7 @@ from tablemend.operators.fill import fill_down
 from tablemend.operators.sets import union_sources
 from tablemend.plans import audits
 from tablemend.plans import catalogue as cat
+from tablemend.plans.incremental import read_sources, reconcile_changed
 from tablemend.plans.reconcile import (
     NameRule,
     accession_list,
@@ -376,3 +377,16 @@ def fill_down_null_order(t):
     events = t.events.select("event_id", "user_id", place.alias("place"), known.alias("known"))
     filled = fill_down(events, ["known"], ["user_id"], ["place", "event_id"], F.floor(F.col("place") / 7), hot_rows=20)
     return filled.select("event_id", "user_id", "known")
+
+
+@query("q93_reconcile_changed", f"""WITH {_RECONCILE_SQL}
+SELECT p_partkey, study AS "Study", antigen AS "Antigen", data_name AS "Data_Name" FROM r
+""")
+def reconcile_changed_sources(t):
+    """Results of an earlier state of one source are there; only that source is computed again."""
+    catalogue, observed, rules = _renderings(t)
+    path = t.new_folder("reconciled")
+    reconcile_changed(catalogue, observed.where("Study <> 'dotted' OR Data_Name LIKE '%1.1'"), rules, path)
+    if reconcile_changed(catalogue, observed, rules, path) not in ([], ["dotted"]):
+        raise RuntimeError("a source that did not change was computed again")
+    return read_sources(t.spark, path).select("p_partkey", "Study", "Antigen", "Data_Name")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tablemend.sources.tables import work_folder
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 _QUERIES: dict[str, Query] = {}
@@ -19,6 +23,17 @@ class Tables:
         self.spark = spark
         self.folder = folder
 
+    def new_folder(self, name: str) -> str:
+        """A folder not used before, in the work folder; a local session that names none gets one of its own."""
+        self.with_work_folder()
+        return f"{work_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
+
+    def with_work_folder(self) -> Tables:
+        named = self.spark.conf.get("spark.checkpoint.dir", None) or self.spark.conf.get("tablemend.work.dir", None)
+        if not named and self.spark.conf.get("spark.master").startswith("local"):
+            self.spark.conf.set("tablemend.work.dir", tempfile.mkdtemp(prefix="tablemend-"))
+        return self
+
     def __getattr__(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 

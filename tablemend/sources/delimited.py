@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tablemend.functions.split import split_parts
+from tablemend.sources.multiline import records
 
 MALFORMED = "_malformed"
 
@@ -31,6 +32,8 @@ class ReadOptions:
     trim: bool = False
     columns: tuple[str, ...] | None = None
     rest_in_last: bool = False
+    #: Read a multi-line file in byte ranges at the same time, instead of whole in one task.
+    split: bool = False
 
 
 def _reader(spark: SparkSession, options: ReadOptions):
@@ -74,6 +77,10 @@ def read_delimited(spark: SparkSession, path: str | Sequence[str], options: Read
     which sorts rows as they stand in the files.
     """
     paths = [path] if isinstance(path, str) else list(path)
+    if options.multiline and options.split:
+        if provenance:
+            raise ValueError("records put together from several byte ranges have no position; read them without split")
+        return repair_header(_read_records(spark, paths, options))
     if options.rest_in_last:
         df = _read_lines(spark, paths, options)
     else:
@@ -97,6 +104,21 @@ def _read_lines(spark: SparkSession, paths: Sequence[str], options: ReadOptions)
     )
 
 
+def _read_records(spark: SparkSession, paths: Sequence[str], options: ReadOptions) -> DataFrame:
+    """Records with line breaks inside quotes, found by all byte ranges at the same time (see ``multiline``)."""
+    if options.encoding.upper() not in ("UTF-8", "US-ASCII"):
+        raise ValueError(f"byte ranges are cut in UTF-8, not in {options.encoding}")
+    names = list(options.columns) if options.columns is not None else _reader(spark, options).csv(paths[0]).columns
+    found = records(spark, paths, options.sep, options.quote, options.trim, options.header)
+    parse = {
+        "sep": options.sep, "quote": options.quote, "escape": options.quote, "nullValue": "NA", "multiLine": "true",
+        "ignoreLeadingWhiteSpace": str(options.trim).lower(), "ignoreTrailingWhiteSpace": str(options.trim).lower(),
+    }
+    schema = ", ".join(f"c{i} string" for i in range(len(names)))
+    row = found.select(F.from_csv("value", schema, parse).alias("row"))
+    return row.select(*[F.regexp_replace(F.col(f"row.c{i}"), r"\r+$", "").alias(n) for i, n in enumerate(names)])
+
+
 #: A character that no text line holds: lines are read as tables of one column.
 NO_SEPARATOR = "\x01"
 

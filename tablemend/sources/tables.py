@@ -48,11 +48,11 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt:
 
 
 def work_folder(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables, from ``spark.checkpoint.dir``, or where that is unset from ``tablemend.work.dir``.
 
-    It must be set: no folder of one machine takes its place.
+    One must be set: no folder of one machine takes its place.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("tablemend.work.dir", None)
     if not folder:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return folder.rstrip("/")

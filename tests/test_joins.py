@@ -197,3 +197,54 @@ def test_membership_flag_is_never_null(spark):
     l = spark.createDataFrame([("a",), ("b",), (None,)], "k string")
     r = spark.createDataFrame([("a",), ("a",)], "q string")
     assert rows(j.in_column(l, "k", r, "q", "seen")) == [("a", True), ("b", False), (None, False)]
+
+
+def exchanges(df):
+    """(hash exchanges, scans, joins that are not broadcast) of the plan before it runs."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan.count("FileScan"), plan.count("SortMergeJoin")
+
+
+@pytest.fixture
+def stored_pair(spark, tmp_path):
+    left = spark.range(400).select(F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k"), (F.col("id") % 7).cast("string").alias("m"), "id")
+    right = spark.range(90).select(F.when(F.col("id") < 30, "hot").otherwise((F.col("id") * 3).cast("string")).alias("k"), (F.col("id") % 9).cast("string").alias("m"), F.col("id").alias("w"))
+    left.write.parquet(str(tmp_path / "l"))
+    right.write.parquet(str(tmp_path / "r"))
+    return spark.read.parquet(str(tmp_path / "l")), spark.read.parquet(str(tmp_path / "r"))
+
+
+def test_a_full_join_counts_once_and_joins_once(no_broadcast, spark, stored_pair):
+    l, r = stored_pair
+    r = r.drop("m")
+    joined = j.full_join(l, r, "k", hot_rows=20)
+    hashed, scans, joins = exchanges(joined)
+    # The count of hot keys stands in the plan of both sides, and runs once.
+    assert joins == 1 and hashed <= 4 and scans <= 6
+    joined.collect()
+    ran = joined._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert ran.count("FileScan") <= 4
+    assert rows(joined) == rows(j.full_join(l, r, "k", hot_rows=None))
+
+
+def test_hot_keys_of_one_side_only_are_not_lost(no_broadcast, spark):
+    l = spark.createDataFrame([("a", i) for i in range(9)] + [(None, i) for i in range(9)] + [("c", 1)], "k string, v int")
+    r = spark.createDataFrame([("b", i) for i in range(9)] + [(None, 100), ("c", 2)], "k string, w int")
+    for nulls in ("match", "never"):
+        assert rows(j.full_join(l, r, "k", nulls, hot_rows=2)) == rows(j.full_join(l, r, "k", nulls, hot_rows=None))
+
+
+def test_any_number_of_keys_meets_in_one_join(no_broadcast, spark, stored_pair):
+    """More passes, the same joins: one of key rows, one that brings the result back."""
+    l, r = stored_pair
+    r = r.dropDuplicates(["k"])
+    two = exchanges(j.join_any(l, r, ["k", "m"], hot_rows=None, right_unique=True))
+    three = exchanges(j.join_any(l.withColumn("q", F.col("m")), r.withColumn("q", F.col("m")), ["k", "m", "q"], hot_rows=None, right_unique=True))
+    assert two == three and two[2] == 2
+
+
+def test_keys_of_several_types_meet(spark):
+    x = spark.createDataFrame([(1, 2.0, None, "p"), (2, -0.0, None, "q"), (3, None, "z", "r"), (None, None, None, "s")], "i int, d double, t string, name string")
+    y = spark.createDataFrame([(1, 9.0, "z", "one"), (7, 0.0, "y", "zero"), (8, 5.0, "z", "other")], "i long, d float, t string, w string")
+    got = rows(j.join_any(x, y, ["i", "d", "t"], pass_column="pass").select("name", "w", "pass"))
+    assert got == sorted([("p", "one", 1), ("q", "zero", 2), ("r", "one", 3), ("r", "other", 3), ("s", None, None)], key=repr)

@@ -59,6 +59,50 @@ def test_chained_corrections_see_earlier_results(spark):
     assert rows(r.apply_corrections(x, [(first, ["study", "item"]), (second, ["code"])], small=True)) == [("s", "new", "1")]
 
 
+PATCH = st.tuples(st.sampled_from(["k", "i"]), st.dictionaries(st.sampled_from(["a", 0, 1]), st.tuples(VALUE, VALUE), max_size=2), st.booleans())
+
+
+@SLOW
+@given(data=TABLE, patches=st.lists(PATCH, min_size=2, max_size=5))
+def test_folded_corrections_equal_one_after_the_other(spark, data, patches):
+    """Patches on two keys in any order: one log per key gives what single updates give."""
+    x = table(spark, data).withColumn("d", F.lit("old"))
+    log = []
+    for key, values, both in patches:
+        kind, wanted = ("string", "a") if key == "k" else ("int", None)
+        listed = [(v, c, d) for v, (c, d) in values.items() if (v == "a") == (wanted == "a")]
+        y = spark.createDataFrame(listed, f"{key} {kind}, c string, d string")
+        log.append((y if both else y.drop("d"), [key]))
+    want = x
+    for y, by in log:
+        want = r.rows_update(want, y, by)
+    assert rows(r.apply_corrections(x, log)) == rows(want)
+
+
+def test_corrections_are_folded_where_order_allows(spark):
+    def patch(*columns):
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+
+    def shape(*log):
+        return [(by, len(patches)) for by, patches in r.compacted([(patch(*by, *values), list(by)) for by, values in log])]
+
+    # Same key; a patch in between that neither reads nor writes what they touch stays out of the way.
+    assert shape((("a",), ("x",)), (("b",), ("y",)), (("a",), ("x", "z"))) == [(["a"], 2), (["b"], 1)]
+    assert shape((("a", "b"), ("x",)), (("b", "a"), ("y",))) == [(["a", "b"], 2)]
+    # It writes the same column, writes the key, or reads what the later one writes.
+    assert shape((("a",), ("x",)), (("b",), ("x",)), (("a",), ("x",))) == [(["a"], 1), (["b"], 1), (["a"], 1)]
+    assert shape((("a",), ("x",)), (("b",), ("a",)), (("a",), ("x",))) == [(["a"], 1), (["b"], 1), (["a"], 1)]
+    assert shape((("a",), ("x",)), (("b",), ("y",)), (("a",), ("b",))) == [(["a"], 1), (["b"], 1), (["a"], 1)]
+    twice = spark.createDataFrame([("a", "x"), ("a", "x")], "k string, c string")
+    once = spark.createDataFrame([("a", "y")], "k string, c string")
+    x = table(spark, [("a", None, 1)])
+    assert rows(r.apply_corrections(x, [(once, ["k"]), (once.withColumn("c", F.lit(None).cast("string")), ["k"])])) == [("a", None, 1)]
+    with pytest.raises(Exception, match="not unique"):
+        r.apply_corrections(x, [(once, ["k"]), (twice, ["k"])]).collect()
+    with pytest.raises(ValueError, match="not in the table"):
+        r.apply_corrections(x, [(once, ["k"]), (once.withColumnRenamed("c", "new"), ["k"])])
+
+
 @pytest.mark.parametrize("hot_rows", [None, 1])
 @SLOW
 @given(data=TABLE)
@@ -77,9 +121,11 @@ def test_fill_by_group_can_stop_on_conflict(spark):
         fill.fill_by_group(table(spark, [("a", "x", 1), ("a", "y", 2)]), ["k"], ["c"], multiple="error").collect()
 
 
+@pytest.mark.parametrize("sampled", [1, 2, 32])
 @SLOW
-@given(data=st.lists(st.tuples(KEY, VALUE), max_size=20), width=st.sampled_from([None, 1, 3, 50]))
-def test_fill_down(no_broadcast, spark, data, width):
+@given(data=st.lists(st.tuples(KEY, VALUE), max_size=20), width=st.sampled_from([None, None, 1, 3, 50]))
+def test_fill_down(no_broadcast, spark, monkeypatch, sampled, data, width):
+    monkeypatch.setattr(fill, "SAMPLED", sampled)
     numbered = [(k, c, n) for n, (k, c) in enumerate(data)]
     last, want = {}, []
     for k, c, n in numbered:
@@ -89,14 +135,40 @@ def test_fill_down(no_broadcast, spark, data, width):
     assert rows(fill.fill_down(table(spark, numbered), ["c"], ["k"], ["i"], chunk, hot_rows=3)) == sorted(want, key=repr)
 
 
-def test_fill_down_hands_on_rows_without_order(no_broadcast, spark):
+def test_fill_down_hands_on_rows_without_order(no_broadcast, spark, monkeypatch):
     """Rows whose order is NULL sort first; their last value starts the next piece."""
     df = spark.createDataFrame([("k", None, "x")] + [("k", i, None) for i in range(1, 7)] + [("l", None, None), ("l", 3, "y"), ("l", 4, None)], "k string, i int, c string")
-    for hot_rows in (3, None):
-        out = fill.fill_down(df, ["c"], ["k"], ["i"], F.floor(F.col("i") / 2), hot_rows=hot_rows)
+    monkeypatch.setattr(fill, "SAMPLED", 1)
+    for hot_rows, chunk in ((3, F.floor(F.col("i") / 2)), (None, None), (3, None), (2, None)):
+        out = fill.fill_down(df, ["c"], ["k"], ["i"], chunk, hot_rows=hot_rows)
         assert rows(out, "k", "i", "c") == sorted([("k", None, "x")] + [("k", i, "x") for i in range(1, 7)] + [("l", None, None), ("l", 3, "y"), ("l", 4, "y")], key=repr)
 
 
+def test_a_hot_group_is_cut_evenly(no_broadcast, spark):
+    """A third of all rows in one group, most of them in a small part of the order: no piece far above the mean."""
+    n = 60_000
+    events = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 500)).alias("k"),
+        F.when(F.col("id") % 5 == 0, F.col("id").cast("double")).otherwise(F.col("id") / n).alias("t"), F.when(F.col("id") % 7 == 0, F.col("id")).alias("c"),
+    )
+    named = events.withColumn("__k0", F.col("k"))
+    marked = fill.mark_hot(named, fill.hot_keys(["__k0"], 1000, __parts=named), ["__k0"], ["__parts"])
+    cuts = fill._cuts(marked, ["__k0"], [F.col("t")], 1000)
+    (places,) = cuts.collect()
+    assert 17 <= len(places["__cuts"]) <= 23
+    pieces = marked.where("k = 'hot'").join(F.broadcast(cuts), fill._same(["__k0"])).groupBy(fill._piece(F.col("__cuts"), F.struct("t")).alias("p")).count().collect()
+    assert len(pieces) >= 19 and max(r["count"] for r in pieces) <= 2000
+    plain = rows(fill.fill_down(events, ["c"], ["k"], ["t"], hot_rows=None))
+    assert rows(fill.fill_down(events, ["c"], ["k"], ["t"], hot_rows=1000)) == plain
+
+
+def test_pieces_are_found_by_binary_search(spark):
+    cuts = [1, 3, 3, 10, 40]
+    df = spark.range(-2, 50).select("id", F.array(*[F.struct(F.lit(c).cast("long")) for c in cuts]).alias("cuts"))
+    out = df.select("id", fill._piece(F.col("cuts"), F.struct("id"))).collect()
+    assert [p for _, p in out] == [sum(c <= i for c in cuts) for i, _ in out]
+
+
 def test_fill_down_needs_a_group(spark):
     with pytest.raises(ValueError, match="group"):
         fill.fill_down(table(spark, []), ["c"], [], ["i"])
@@ -169,6 +241,37 @@ def test_groups_with_and_without_hot_ones(no_broadcast, spark, hot_rows):
     assert rows(a.null_out_ambiguous(df, ["k"], ["c"], hot_rows)) == sorted([(k, c if k == "b" else None, i) for k, c, i in data], key=repr)
 
 
+def scans(df):
+    """Table scans in the plan as it ran."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return plan.count("FileScan")
+
+
+def test_all_dependencies_come_from_one_scan(no_broadcast, spark, tmp_path):
+    data = [(k, c, i) for k in "abc" for c in ("x", "y", None) for i in range(3)] + [("d", "x", 1), (None, "x", 9)]
+    table(spark, data).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    rules = [(["k"], "c"), (["c"], "k"), (["k", "c"], "i"), (["i"], "c")]
+    report = a.conflict_report(df, rules)
+    want = []
+    for determinant, dependent in rules:
+        part = a.conflicts(df, determinant, dependent)
+        want += [("+".join(determinant), dependent, "|".join(str(v) for v in row[: len(determinant)]), *row[len(determinant) :]) for row in rows(part)]
+    assert rows(report) == sorted(want, key=repr)
+    assert scans(report) == 1
+
+
+def test_a_group_filter_joins_no_unwanted_rows(no_broadcast, spark, tmp_path):
+    table(spark, [("a", "x", i) for i in range(40)] + [("b", "y", 1), ("c", "z", 1), ("c", "z", 2)]).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    plain = a.groups_where(df, ["k"], F.count(F.lit(1)) == 2, None)
+    assert "LeftSemi" in (plan := plain._jdf.queryExecution().executedPlan().toString()) and "LeftOuter" not in plan
+    for condition in (F.count(F.lit(1)) > 1, F.count(F.lit(1)) == 2, F.count(F.lit(1)) > 99):
+        want = rows(a.groups_where(df, ["k"], condition, None))
+        assert rows(a.groups_where(df, ["k"], condition, 5)) == want
+
+
 def test_group_summary_is_computed_once(no_broadcast, spark, tmp_path):
     path = str(tmp_path / "t")
     table(spark, [("a", "x", 1), ("b", "y", 2)]).write.parquet(path)

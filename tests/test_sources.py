@@ -1,11 +1,14 @@
 from __future__ import annotations
 
+import random
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
 from tablemend.operators.fill import fill_down
 from tablemend.sources import delimited as d
+from tablemend.sources import multiline
 from tablemend.sources import tables as t
 
 
@@ -128,3 +131,34 @@ def test_a_cluster_must_name_its_shared_folder():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         t.work_folder(Session())
+
+
+FIELDS = ["a", "", "x y", '"q"', '"a\nb"', '"a\n\nb,c"', '"say ""hi""\n"', '""', '"\n"', 'in"ch', '"end"x', '"a\r\nb"', "NA", '","', '"""\n"""', "long " * 9]
+
+
+@pytest.mark.parametrize("size", [16, 40, 100_000])
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_multi_line_files_split_anywhere(spark, tmp_path, size, ending):
+    """Equal to Spark's own reader of whole files, whatever the byte ranges."""
+    rng, paths = random.Random(size), []
+    for n in range(25):
+        table = [["k", "l", "m"], *([rng.choice(FIELDS) for _ in range(3)] for _ in range(rng.randrange(12)))]
+        paths.append(write(tmp_path, f"{n}.csv", ending.join(",".join(row) for row in table) + rng.choice(["", ending])))
+    whole = rows(d.read_delimited(spark, paths, d.ReadOptions(multiline=True)))
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", 0)
+        found = d.read_delimited(spark, paths, d.ReadOptions(multiline=True, split=True))
+        assert found.columns == ["k", "l", "m"] and rows(found) == whole
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+
+
+def test_a_quote_that_is_never_closed_stops_the_job(spark, tmp_path):
+    path = write(tmp_path, "open.csv", "k\n" + '"x\n' * 1 + "y\n" * 30)
+    with pytest.raises(Exception, match="not closed"):
+        multiline.records(spark, [path], most_lines=20).collect()
+    with pytest.raises(ValueError, match="position"):
+        d.read_delimited(spark, path, d.ReadOptions(multiline=True, split=True), provenance=True)
