@@ -266,3 +266,33 @@ def near_duplicates(documents: DataFrame, shingle: int = SHINGLE, radius: int =
     smallest = of.groupBy("component").agg(F.min("least").alias("component_id"))
     met = rows.join(of.join(smallest, "component").select("b", "component_id"), F.col("bits") == F.col("b"))
     return met.select("doc_id", F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def without_copies(documents: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+    """One document of each component: that with the smallest doc_id (NULL last); columns stay as they are.
+
+    Of rows that repeat this doc_id the one with the smallest hash of its text stays, of equal rows one.
+    """
+    mark = unused("mark", documents.columns)
+    chosen_id, chosen_mark = unused("chosen_id", documents.columns), unused("chosen_mark", documents.columns)
+    marked = documents.withColumn(mark, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in regrouped(batches, "text"):
+            bits = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(bits)], ["doc_id", "mark", "bits"])
+
+    read = marked.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col(mark).alias("mark"))
+    rows = stored(read.mapInArrow(run, "doc_id long, mark long, bits long"), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("no"), F.col("doc_id"), F.col("mark"))
+    first = rows.groupBy("bits").agg(F.min(key).alias("key")).join(_component_of(rows, radius), F.col("bits") == F.col("b")).groupBy("component").agg(F.min("key").alias("key"))
+    chosen = first.select(F.col("key.doc_id").alias(chosen_id), F.col("key.mark").alias(chosen_mark))
+    kept = marked.join(chosen, F.col("doc_id").eqNullSafe(F.col(chosen_id)) & (F.col(mark) == F.col(chosen_mark)), "left_semi")
+    return kept.dropDuplicates(["doc_id", mark]).select(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def unused(name: str, columns: list[str]) -> str:
+    """The name, with as many underscores before it as make it none of the columns."""
+    while name.lower() in {c.lower() for c in columns}:
+        name = f"_{name}"
+    return name

@@ -126,3 +126,16 @@ def test_components(spark):
 
 def test_empty(spark):
     assert s.near_duplicates(documents(spark, [])).count() == 0
+
+
+def test_one_document_of_each_component_stays(spark):
+    rows = [(i, t) for i, t in near_copies(random.Random(4))] + [(None, "no id"), (90001, "no id"), (90002, "twice"), (90002, "twice"), (90003, None)]
+    df = documents(spark, rows, extra=True).selectExpr("*", "7 AS mark", "8 AS _mark", "9 AS chosen_id", "'z' AS `__mark`")
+    out = dicts(s.without_copies(df))
+    assert s.without_copies(df).columns == df.columns
+    of = groups({plain(t) for _, t in rows}, lambda x, y: (x ^ y).bit_count() <= 4)
+    first = {}
+    for i, t in rows:
+        first[of[plain(t)]] = min(first.get(of[plain(t)], (True, 0)), (i is None, i or 0))
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0) for r in out) == sorted(first.values())
+    assert all((r["mark"], r["_mark"], r["chosen_id"], r["__mark"]) == (7, 8, 9, "z") for r in out)
