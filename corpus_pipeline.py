@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tablemend.llm import decontamination, near_copies, packing, secret_scan, toxicity
+from tablemend.llm import decontamination, packing, secret_scan, simhash, toxicity
 from tablemend.llm.common import stored
 from tablemend.llm.queries import tokenizer_path
 
@@ -15,8 +15,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies one document stays, that with the smallest id."""
-    return near_copies.without_copies(docs)
+    """Of each group of documents whose fingerprints are linked one stays, that with the smallest id."""
+    return simhash.without_copies(docs)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
