@@ -40,6 +40,9 @@ INFLATION = 20
 
 Key = str | tuple[str, str]
 
+_MULTIPLYING = re.compile(r"^[\s:+|-]*(?:Generate|Join|Expand|ExternalRDD|LogicalRDD|MapIn|FlatMap)", re.MULTILINE)
+_REARRANGING = re.compile(r"^[\s:+|-]*(?:Aggregate|Join|Distinct|Deduplicate|Window|Sort|Repartition|Generate|MapIn|FlatMap)", re.MULTILINE)
+
 
 def broadcast_limit(df: DataFrame) -> int:
     """Spark's broadcast limit in bytes; negative if broadcasting is off."""
@@ -55,15 +58,20 @@ def known_small(df: DataFrame) -> bool:
     see rows multiply. So only plans without generators, joins and expansions count,
     with room for compression.
     """
+    limit = broadcast_limit(df)
     try:
-        plan = df._jdf.queryExecution().optimizedPlan()
+        query = df._jdf.queryExecution()
+        # The plan as written tells most cases, and is there without being optimised.
+        if limit < 0 or _MULTIPLYING.search(query.analyzed().toString()):
+            return False
+        plan = query.optimizedPlan()
         size = plan.stats().sizeInBytes()
     except AttributeError:
         # A client without a local plan cannot tell.
         return False
-    if re.search(r"^[\s:+|-]*(?:Generate|Join|Expand|ExternalRDD|LogicalRDD|MapIn|FlatMap)", plan.toString(), re.MULTILINE):
+    if _MULTIPLYING.search(plan.toString()):
         return False
-    return int(str(size)) * INFLATION <= broadcast_limit(df)
+    return int(str(size)) * INFLATION <= limit
 
 
 def key_pairs(on: str | Sequence[Key]) -> list[tuple[str, str]]:
@@ -135,7 +143,10 @@ def _any_null(keys: Sequence[str]) -> Column:
 def in_scan_order(df: DataFrame) -> bool:
     """Are the rows as a scan gives them, in the same order whenever a task runs again?"""
     try:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        query = df._jdf.queryExecution()
+        if _REARRANGING.search(query.analyzed().toString()):
+            return False
+        plan = query.optimizedPlan().toString()
     except AttributeError:
         return False
     nodes = re.findall(r"^[\s:+|-]*(\w+)", plan, re.MULTILINE)
@@ -488,7 +499,7 @@ def join_any(
 def _passes(x, y, passes, nulls, pass_column, right_unique, hot_rows) -> DataFrame:
     pass_pairs = [key_pairs(p) for p in passes]
     payload = _cascade_payload(x, y, pass_pairs)
-    lefts, found = first_matches(x, y, passes, payload, nulls, right_unique, hot_rows)
+    lefts, found = first_matches(x, y, passes, payload, nulls, right_unique)
     return _attached(x, lefts, found, payload, pass_pairs, nulls, pass_column, right_unique, hot_rows)
 
 
@@ -531,7 +542,6 @@ def first_matches(
     payload: Sequence[str],
     nulls: str = "never",
     right_unique: bool = False,
-    hot_rows: int | None = HOT_ROWS,
 ) -> tuple[list[str], DataFrame]:
     """What a cascade attaches to each key combination of ``x``: the names of the keys, and a table of
     them (as ``__c0``, ``__c1``, ...) with ``__pass`` and the ``payload`` columns of the ``y`` rows as ``__found``.
@@ -544,10 +554,13 @@ def first_matches(
     lefts = list(dict.fromkeys(l for pairs in pass_pairs for l, _ in pairs))
     places = {l: f"__c{i}" for i, l in enumerate(lefts)}
     combinations = x.select(*[col(l).alias(c) for l, c in places.items()]).distinct()
-    kinds = {}
+    kinds, x_types, y_types = {}, x.schema, y.schema
     for l, r in {pair for pairs in pass_pairs for pair in pairs}:
-        both = F.coalesce(F.lit(None).cast(x.schema[l].dataType), F.lit(None).cast(y.schema[r].dataType))
-        kinds[l, r] = x.sparkSession.range(0).select(both.alias("k")).schema["k"].dataType
+        one, other = x_types[l].dataType, y_types[r].dataType
+        kinds[l, r] = one
+        if one != other:
+            both = F.coalesce(F.lit(None).cast(one), F.lit(None).cast(other))
+            kinds[l, r] = x.sparkSession.range(0).select(both.alias("k")).schema["k"].dataType
     left_keys = [[_key_text(places[l], kinds[l, r], nulls) for l, r in pairs] for pairs in pass_pairs]
     right_keys = [[_key_text(r, kinds[l, r], nulls) for l, r in pairs] for pairs in pass_pairs]
     asked = _pass_rows(combinations, left_keys, [F.col(c) for c in places.values()])
@@ -557,12 +570,14 @@ def first_matches(
     names = key_names(len(keys))
     asked = _with_keys(asked.withColumnsRenamed({k: f"__t_{k}" for k in keys}), [F.col(f"__t_{k}") for k in keys])
     told = told.withColumnsRenamed({k: f"__r{i}" for i, k in enumerate(keys)})
-    met = _left_keyed(asked, told, len(keys), "never", hot_rows, right_unique).where("__hit").drop("__hit", *names)
+    # An inner join of key rows: Spark splits either side where it is skewed, so no keys need be counted.
+    met = _left_keyed(asked, told, len(keys), "never", None, right_unique).where("__hit").drop("__hit", *names)
     met = met.withColumnRenamed("__t___pass", "__pass").select(*places.values(), "__pass", "__found")
     if right_unique:
         return lefts, met.groupBy(*places.values()).agg(F.min("__pass").alias("__pass"), F.min_by("__found", "__pass").alias("__found"))
-    first = attach_groups(met, list(places.values()), {"__first": F.min("__pass")}, hot_rows=hot_rows)
-    return lefts, first.where("__pass = __first").drop("__first")
+    first = met.groupBy(*[F.col(c).alias(f"{c}_of") for c in places.values()]).agg(F.min("__pass").alias("__first"))
+    own = _all_equal([(F.col(c), F.col(f"{c}_of")) for c in places.values()], "match") & (F.col("__pass") == F.col("__first"))
+    return lefts, met.join(first, own, "left_semi")
 
 
 def _attached(x, lefts, found, payload, pass_pairs, nulls, pass_column, right_unique, hot_rows) -> DataFrame:
@@ -592,7 +607,7 @@ def match_cascade(
         return _passes(x, y, passes, nulls, pass_column, False, hot_rows)
     pass_pairs = [key_pairs(p) for p in passes]
     payload = _cascade_payload(x, y, pass_pairs)
-    lefts, found = first_matches(x, y.withColumn("__own_name", col(name)), passes, [*payload, "__own_name"], nulls, False, hot_rows)
+    lefts, found = first_matches(x, y.withColumn("__own_name", col(name)), passes, [*payload, "__own_name"], nulls)
     matched = _attached(x, lefts, found, payload, pass_pairs, nulls, pass_column, False, hot_rows)
     rest = anti_join(y, found.select(F.col("__found.__own_name").alias("__own_name")), [(name, "__own_name")], hot_rows=hot_rows)
     kept = [c for c in rest.columns if c in matched.columns]
@@ -615,7 +630,7 @@ def unused_rows(
     """
     own = {c: f"__own_{c}" for c in on}
     marked = y.withColumns({copy: col(c) for c, copy in own.items()})
-    _, found = first_matches(x, marked, passes, list(own.values()), nulls, False, hot_rows)
+    _, found = first_matches(x, marked, passes, list(own.values()), nulls)
     used = found.select(*[F.col("__found")[copy].alias(copy) for copy in own.values()])
     return anti_join(y, used, list(own.items()), hot_rows=hot_rows)
 
