@@ -4,8 +4,11 @@ Records are hashed into thousands of slots that never change. Bytes and rows are
 slots to shards, and rebalancing edits that table only: records keep their slot. Every edit is a new version of the
 map. Main path: DataFrame functions; only the slot totals (as many rows as there are slots) come to the driver.
 
+Records that repeat (same id, size and checksum) are counted and numbered, and all but the first hash their number too: however often a
+record stands in the table, its copies spread over all slots.
+
 Defined cases: a NULL text has no bytes and the CRC-32 of nothing (0); a NULL id is a value like any other; equal rows
-share a slot and get different places; an empty table gives an empty result; other columns are not read.
+get places of their own in slots of their own; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from tablemend.llm.common import fresh_folder, stored
 
 SLOTS = 4096
 OVERHEAD = 8  # bytes that each record takes besides its text
+#: Copies of one record that are numbered in one go.
+RUN = 4096
 
 
 @dataclass
@@ -32,14 +37,23 @@ class SlotMap:
 
 
 def slotted(documents: DataFrame, slots: int = SLOTS) -> DataFrame:
-    """(doc_id, size, text_crc32, virtual_slot) for each record; the slot depends on the record alone."""
+    """(doc_id, size, text_crc32, virtual_slot) for each record; the slot depends on the record and, for a copy, on its number."""
     text = F.col("text").cast("string")
     sized = documents.select(
         F.col("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("text_crc32"),
     )
-    return sized.withColumn("virtual_slot", F.pmod(F.xxhash64("doc_id", "text_crc32", "size"), F.lit(slots)).cast("int"))
+    record = ["doc_id", "size", "text_crc32"]
+    counted = sized.groupBy(*record).agg(F.count(F.lit(1)).alias("n"))
+    # Numbers come in runs that are dealt over the tasks, so a record with very many copies is not written out by one.
+    runs = counted.select(*record, "n", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / RUN))).alias("run"))
+    runs = runs.repartition(*record, "run")
+    last = F.least(F.col("n"), (F.col("run") + 1) * RUN) - 1
+    numbered = runs.select(*record, F.explode(F.sequence(F.col("run") * RUN, last)).alias("copy"))
+    own = F.xxhash64("doc_id", "text_crc32", "size")
+    hashed = F.when(F.col("copy") == 0, own).otherwise(F.xxhash64("doc_id", "text_crc32", "size", "copy"))
+    return numbered.select(*record, F.pmod(hashed, F.lit(slots)).cast("int").alias("virtual_slot"))
 
 
 def slot_totals(records: DataFrame) -> list[tuple[int, int, int]]:

@@ -26,6 +26,21 @@ def test_shards(spark):
     assert max(later.values()) <= 1.1 * sum(later.values()) / 25 and later[24] >= 0.9 * sum(later.values()) / 25
 
 
+def test_a_record_that_is_a_third_of_all_rows(spark, monkeypatch):
+    """Copies of one record spread over the shards like other rows, and none is lost."""
+    monkeypatch.setattr(sharding, "RUN", 7)
+    rows = [(i, "y" * (i % 90)) for i in range(2000)] + [(-1, "z" * 300)] * 1000
+    out = dicts(sharding.shard_documents(documents(spark, rows)))
+    assert sorted((r["doc_id"], r["size"]) for r in out) == sorted((i, len(t) + 8) for i, t in rows)
+    size, places = defaultdict(int), defaultdict(list)
+    for r in out:
+        size[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    mean = sum(size.values()) / 24
+    assert max(size.values()) <= 1.01 * mean + 308 and min(size.values()) >= 0.99 * mean - 308
+    assert all(sorted(v) == list(range(len(v))) for v in places.values())
+
+
 def test_empty(spark):
     assert sharding.shard_documents(documents(spark, [])).count() == 0
 
