@@ -2,8 +2,11 @@
 
 Three fixed patterns give the base spans. Beyond them, every long token that follows a sensitive word is a candidate:
 its marginal cost is the bytes that zstandard needs for the surrounding text with the candidate less those for
-the surrounding text alone, the compressor being primed with a dictionary of identifiers. Names, paths and
-repeated words cost little; what stays near one byte a character is random, and is reported as `novel`.
+the surrounding text alone, the compressor being primed with a dictionary of identifiers. The surrounding text is taken without
+copies of the candidate, so a key that stands twice is found twice. Names, paths and known words cost little; what stays near one byte a
+character is random, and is reported as `novel`. The bytes decide for every candidate; the look of one only says how much it must
+cost: more without letters and digits mixed, as long names in code have it, and most if it looks like a word (letters
+of one case, a first capital aside), as no compressor tells a rare long word from random letters.
 
 Defined cases: a NULL text is empty and has no span; repeated rows give equal results; NULL ids are kept; an empty
 table gives no rows; other columns are not read. Texts are scanned whole. Positions are code points.
@@ -36,8 +39,9 @@ SENSITIVE_WORDS = ("pass", "pwd", "secret", "token", "key", "credential", "beare
 REACH = 48
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=~.-]{16,}")
 CONTEXT = 256
-#: Marginal bytes for each byte of the candidate from which it counts as random.
-NOVELTY = 0.6
+#: Marginal bytes for each byte of the candidate from which it counts as random: with the look of a key, of a name, of a word.
+NOVELTY, NAME_NOVELTY, WORD_NOVELTY = 0.6, 0.75, 1.1
+_WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 IDENTIFIERS = (
     "password passwd passphrase secret token api_key apikey access_key private_key public_key client_id client_secret credential "
     "authorization bearer signature session_id cookie username user email account config settings environment variable default "
@@ -70,6 +74,13 @@ def mixed(token: str) -> bool:
     return sum(c.isalpha() for c in token) >= 3 and (digits >= 3 or (digits >= 1 and inner)) and any(c.isdigit() or c.isupper() for c in token[1 : len(token) // 2])
 
 
+def least_share(token: str) -> float:
+    """How much each byte of a candidate must cost."""
+    if _WORD.fullmatch(token):
+        return WORD_NOVELTY
+    return NOVELTY if mixed(token) else NAME_NOVELTY
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the fixed patterns, by start, then kind."""
     found, low = [], text.lower()
@@ -95,10 +106,10 @@ def novel_spans(text: str, base: list[tuple[int, int, int]], novelty: Novelty) -
         while at < len(base) and base[at][2] <= m.start():
             at += 1
         # base is sorted by start; a later span may end earlier, so all that start before the candidate's end are looked at.
-        if not 0 <= m.start() - words[word] <= REACH or any(s < m.end() and e > m.start() for s, _, e in base[max(0, at - 3) : at + 8]) or not mixed(m[0]):
+        if not 0 <= m.start() - words[word] <= REACH or any(s < m.end() and e > m.start() for s, _, e in base[max(0, at - 3) : at + 8]):
             continue
-        around = text[max(0, m.start() - CONTEXT) : m.start()] + text[m.end() : m.end() + CONTEXT]
-        if novelty.share(around, m[0]) >= NOVELTY:
+        around = text[max(0, m.start() - CONTEXT) : m.start()] + " " + text[m.end() : m.end() + CONTEXT]
+        if novelty.share(around.replace(m[0], ""), m[0]) >= least_share(m[0]):
             found.append((m.start(), 3, m.end()))
     return found
 
