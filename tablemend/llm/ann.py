@@ -149,7 +149,7 @@ def fit(vectors: DataFrame, centroids: int = CENTROIDS, fit_rows: int = FIT_ROWS
     """The index without its counts, and the share to see; None without vectors."""
     number = vectors.count()
     part = min(1.0, fit_rows / max(1, number))
-    drawn = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1_000_000)) < int(part * 1_000_000))
+    drawn = vectors.where(F.pmod(F.xxhash64("vec_id", F.lit("fit")), F.lit(1 << 62)) < int(part * (1 << 62)))
     # About fit_rows rows, which a bound on the parameter bounds.
     rows = drawn.collect() or vectors.limit(1).collect()
     if not rows:

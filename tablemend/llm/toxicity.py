@@ -177,7 +177,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, fit_rows: int = FIT
     )
     number = usable.count()
     part = min(1.0, fit_rows / max(1, number))
-    drawn = usable.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1_000_000)) < int(part * 1_000_000))
+    drawn = usable.where(F.pmod(F.xxhash64("id", F.lit("fit")), F.lit(1 << 62)) < int(part * (1 << 62)))
     read = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return read.join(F.broadcast(drawn), F.col("doc_id") == F.col("id")).select("text", "toxic")
 

@@ -218,7 +218,8 @@ def archived(pages: DataFrame, least: int = LEAST) -> DataFrame:
 def page_records(chunks: DataFrame) -> DataFrame:
     """Per page, from the chunk table: page_id, payload_bytes, payload_digest, record_type, refers_to, target_uri.
 
-    The last chunk of a response has both figures of the payload; a revisit takes them from its response.
+    The last chunk of a response has both figures of the payload; a revisit takes them from its response. A revisit whose
+    response is not in the table stops the job.
     """
     ends = stored(chunks.where("last").select("record_id", "record_type", "refers_to", "target_uri", "declared_digest", "bytes_so_far", "sha1_so_far", (F.col("chunk_no") + 1).alias("chunks")), "warc-ends")
     page = page_id_of(F.col("record_id"))
@@ -228,9 +229,10 @@ def page_records(chunks: DataFrame) -> DataFrame:
     )
     # A response may stand in several rows of equal payload: one figure per record is enough.
     figures = responses.groupBy(F.col("record_id").alias("target"), F.col("sha1_so_far").alias("payload_digest")).agg(F.max("bytes_so_far").alias("payload_bytes"))
+    lost = F.raise_error(F.concat(F.lit("no response for "), F.col("record_id"))).cast("long")
     again = (
         ends.where("record_type = 'revisit'")
-        .join(figures, (F.col("refers_to") == F.col("target")) & (F.col("declared_digest") == F.col("payload_digest")))
-        .select(page.alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_id_of(F.col("refers_to")).alias("refers_to"), "target_uri", F.lit(0).cast("long").alias("chunks"))
+        .join(figures, (F.col("refers_to") == F.col("target")) & (F.col("declared_digest") == F.col("payload_digest")), "left")
+        .select(page.alias("page_id"), F.when(F.col("target").isNull(), lost).otherwise(F.col("payload_bytes")).alias("payload_bytes"), F.col("declared_digest").alias("payload_digest"), "record_type", page_id_of(F.col("refers_to")).alias("refers_to"), "target_uri", F.lit(0).cast("long").alias("chunks"))
     )
     return own.unionByName(again)

@@ -4,6 +4,7 @@ import hashlib
 import io
 import random
 
+import pytest
 from llm.helpers import dicts
 
 from tablemend.llm import warc
@@ -47,6 +48,14 @@ def test_chunks(spark):
     assert record[3]["sha1_so_far"] == hashlib.sha1(whole[:40_000]).hexdigest() and record[-1]["sha1_so_far"] == record[-1]["declared_digest"]
 
 
+def test_a_revisit_without_its_response_stops_the_job(spark):
+    folder = fresh_folder(spark, "warc-test")
+    chunks = warc.read_chunks(warc.write_archives(warc.planned(table(spark, ROWS[:4])), folder), folder)
+    assert warc.page_records(chunks).count() == 4
+    with pytest.raises(Exception, match="no response for urn:page:1"):
+        warc.page_records(chunks.where("record_id <> 'urn:page:7'")).where("page_id = 1").collect()
+
+
 def test_empty(spark):
     assert warc.page_records(warc.archived(table(spark, []))).count() == 0
 
