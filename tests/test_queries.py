@@ -10,7 +10,7 @@ from conftest import TABLES
 
 import __spark_entry__ as entry_point
 from tablemend import queries as registered
-from tools.check_queries import rows_of
+from tools.check_queries import plan_for_large_tables, rows_of
 
 pytestmark = pytest.mark.skipif(not Path(TABLES).exists(), reason="no test tables")
 
@@ -32,6 +32,24 @@ def test_query_equals_sql(spark, sql_tables, name):
     assert rows_of(df.columns, df.collect()) == rows_of(names, cursor.fetchall())
 
 
+SKEWED = (
+    "q14 q16 q18 q21 q23 q24 q27 q37 q39 q41 q42 q43 q46 q47 q56 q58 q62 q72 q74 q80 q89 q92"
+).split()
+
+
+@pytest.fixture
+def large_plans(spark):
+    """Plans as for large tables: nothing is broadcast by size, and every key above 20 rows is hot."""
+    undo = plan_for_large_tables(spark, 20)
+    yield
+    undo()
+
+
+@pytest.mark.parametrize("name", [n for n in sorted(registered.queries()) if n.split("_")[0] in SKEWED])
+def test_query_with_hot_keys_equals_sql(spark, sql_tables, large_plans, name):
+    test_query_equals_sql(spark, sql_tables, name)
+
+
 def test_entry(spark):
     assert entry_point.entry(spark).count() > 0
 
