@@ -8,8 +8,8 @@ exact inner product in double precision.
 Centroids are fitted on at most `FIT_ROWS` vectors drawn by a hash of the id, and the share is calibrated on the same sample
 against brute force. All vectors are indexed and all queries answered. The number of vectors in each cell (at most K x K
 numbers) is known to the driver. Vectors lie in tasks by their first centroid, cut into chunks of bounded size, so a
-centroid or a group of copies that holds a third of all vectors is spread over tasks; each chunk answers its queries with
-at most `top` rows.
+centroid or a group of copies that holds a third of all vectors is spread over tasks. Queries are dealt into blocks of about `QUERIES`, and a
+chunk meets each block in a task of its own, so no task grows with the number of queries; it answers each with at most `top` rows.
 
 Defined cases: vectors that are NULL, empty, zero, of another length than most of the sample, or with NULL or non-finite parts
 take no part; so do NULL ids; repeated rows are candidates of their own (a query is never its own id's candidate) and ask
@@ -35,7 +35,8 @@ FIT_ROWS = 10_000
 TOP = 20
 RECALL = 0.97
 CHUNK = 4096
-#: Queries that a chunk answers at once.
+#: Queries that one task holds beside a chunk, and that a chunk answers at once.
+QUERIES = 8192
 AT_ONCE = 512
 
 
@@ -203,7 +204,7 @@ def nearest_in_chunk(queries: pa.Table, entries: pa.Table, width: int, seconds:
     return pa.table({"query_id": pa.array(out_q, pa.int64()), "vec_id": pa.array(out_v, pa.int64()), "score": pa.array(out_s, pa.float64())})
 
 
-def search(embeddings: DataFrame, is_query: Column, top: int = TOP, centroids: int = CENTROIDS, recall: float = RECALL, fit_rows: int = FIT_ROWS, chunk: int = CHUNK, share: float | None = None) -> DataFrame:
+def search(embeddings: DataFrame, is_query: Column, top: int = TOP, centroids: int = CENTROIDS, recall: float = RECALL, fit_rows: int = FIT_ROWS, chunk: int = CHUNK, share: float | None = None, at_most: int = QUERIES) -> DataFrame:
     """query_id, rank, vec_id, score: the nearest vectors of every row that is_query (over vec_id) holds for."""
     spark = embeddings.sparkSession
     vectors = usable(embeddings)
@@ -239,14 +240,16 @@ def search(embeddings: DataFrame, is_query: Column, top: int = TOP, centroids: i
     of = F.get(chunks, F.col("c1"))
     dealt = entries.withColumn("chunk", F.pmod(F.xxhash64("vec_id", "embedding"), of).cast("int"))
     asked = entries.where(is_query).select("vec_id", "embedding").distinct().repartition(max(1, min(512, total // 2000 + 1)), "vec_id").mapInArrow(route, f"query_id long, query {_kind(entries)}, c1 int, cells array<int>")
-    # A query goes to every chunk of the centroids it visits.
-    spread = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), of - 1)))
+    # A query goes to every chunk of the centroids it visits, and a chunk to every block of queries.
+    blocks = max(1, -(-entries.where(is_query).count() // at_most))
+    spread = asked.withColumn("chunk", F.explode(F.sequence(F.lit(0), of - 1))).withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int"))
+    dealt = dealt.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def run(q: pa.Table, e: pa.Table) -> pa.Table:
         if not q.num_rows or not e.num_rows:
             return pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         return nearest_in_chunk(q, e, width, seconds, top)
 
-    found = spread.groupBy("c1", "chunk").cogroup(dealt.groupBy("c1", "chunk")).applyInArrow(run, "query_id long, vec_id long, score double")
+    found = spread.groupBy("c1", "chunk", "block").cogroup(dealt.groupBy("c1", "chunk", "block")).applyInArrow(run, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "score")

@@ -35,10 +35,10 @@ def rows_of(rng, n, d=8):
     return rows + [(5000, None), (5001, []), (5002, [0.0] * d), (5003, [1.0, None] * (d // 2)), (5004, [float("nan")] * d), (5020, [float("inf")] * d), (None, same)]
 
 
-@pytest.mark.parametrize("chunk", [4096, 7])
-def test_whole_search(spark, chunk):
+@pytest.mark.parametrize(("chunk", "at_most"), [(4096, 8192), (7, 8192), (50, 3)])
+def test_whole_search(spark, chunk, at_most):
     rows = rows_of(random.Random(1), 230)
-    out = dicts(ann.search(table(spark, rows), F.col("vec_id") % 20 == 0, centroids=4, share=1.0, chunk=chunk))
+    out = dicts(ann.search(table(spark, rows), F.col("vec_id") % 20 == 0, centroids=4, share=1.0, chunk=chunk, at_most=at_most))
     want = brute(rows, 20)
     got = {}
     for r in sorted(out, key=lambda r: r["rank"]):
