@@ -261,8 +261,8 @@ class Walk:
         return found
 
 
-#: What a block row holds of its trees; 64-bit numbers all, end to end.
-_TREE = {"roots": np.int64, "left": np.int64, "right": np.int64, "start": np.int64, "end": np.int64, "member": np.int64, "count": np.int64, "sums": np.int64, "centre": np.float64, "radius": np.float64}
+#: What a block row holds of its trees, as arrays laid end to end: numbers of balls and points are small, and so are components.
+_TREE = {"roots": np.int32, "left": np.int32, "right": np.int32, "start": np.int32, "end": np.int32, "member": np.int32, "count": np.int32, "sums": np.int64, "centre": np.float64, "radius": np.float64}
 _BLOCK = "ids array<long>, points binary, " + ", ".join(f"{name} binary" for name in _TREE)
 
 
@@ -305,7 +305,7 @@ def block_row(ids: pa.Array, labels: pa.Array, numbers: np.ndarray, parts: int)
     forest = Forest(points, np.repeat(np.arange(parts), n), parts)
     lists = [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), c) for c in (labels, ids)]
     held = [pa.array([getattr(forest, name).astype(kind).tobytes()], pa.binary()) for name, kind in _TREE.items()]
-    return pa.RecordBatch.from_arrays([*lists, pa.array([points.tobytes()], pa.binary()), *held], ["labels", "ids", "points", *_TREE])
+    return pa.RecordBatch.from_arrays([*lists, pa.array([points.astype(np.int32).tobytes()], pa.binary()), *held], ["labels", "ids", "points", *_TREE])
 
 
 def trees(batch: pa.RecordBatch, width: int) -> Iterator[dict[str, np.ndarray]]:
@@ -313,7 +313,7 @@ def trees(batch: pa.RecordBatch, width: int) -> Iterator[dict[str, np.ndarray]]:
     names = batch.schema.names
     for row in range(batch.num_rows):
         tree = {name: np.frombuffer(batch.column(names.index(name))[row].as_buffer(), kind) for name, kind in _TREE.items()}
-        tree["points"] = np.frombuffer(batch.column(names.index("points"))[row].as_buffer(), np.int64)
+        tree["points"] = np.frombuffer(batch.column(names.index("points"))[row].as_buffer(), np.int32)
         for name in ("points", "sums", "centre"):
             tree[name] = tree[name].reshape(-1, width)
         yield tree
