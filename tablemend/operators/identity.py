@@ -51,18 +51,19 @@ def components(edges: DataFrame, hot_rows: int | None = HOT_ROWS, rounds: int =
 
 def _identifier_rows(combinations: DataFrame, identifiers: Sequence[Identifier]) -> DataFrame:
     """(item, kind, values): a row for each identifier that a combination knows whole."""
-    listed = []
+    place, listed = _places(identifiers), []
     for kind, identifier in enumerate(identifiers):
-        parts = parts_of(identifier)
-        known = col(parts[0]).isNotNull()
+        parts = [F.col(place[p]) for p in parts_of(identifier)]
+        known = parts[0].isNotNull()
         for p in parts[1:]:
-            known = known & col(p).isNotNull()
-        listed.append(F.when(known, F.struct(F.lit(kind).alias("kind"), F.array(*[col(p).cast("string") for p in parts]).alias("values"))))
+            known = known & p.isNotNull()
+        listed.append(F.when(known, F.struct(F.lit(kind).alias("kind"), F.array(*[p.cast("string") for p in parts]).alias("values"))))
     return combinations.select("item", F.inline(F.array_compact(F.array(*listed))))
 
 
-def _columns(identifiers: Sequence[Identifier]) -> list[str]:
-    return list(dict.fromkeys(p for i in identifiers for p in parts_of(i)))
+def _places(identifiers: Sequence[Identifier]) -> dict[str, str]:
+    """Column -> name in the table of combinations, where no caller's name can meet one of ours."""
+    return {c: f"__i{n}" for n, c in enumerate(dict.fromkeys(p for i in identifiers for p in parts_of(i)))}
 
 
 def _text(kind: Column, values: Column, identifiers: Sequence[Identifier]) -> Column:
@@ -73,8 +74,7 @@ def _text(kind: Column, values: Column, identifiers: Sequence[Identifier]) -> Co
 
 def shared_identifiers(df: DataFrame, identifiers: Sequence[Identifier], most_items: int) -> DataFrame:
     """Audit: identifiers of more than so many combinations, such as placeholders, with the number of combinations and rows."""
-    columns = _columns(identifiers)
-    combinations = df.groupBy(*[col(c) for c in columns]).agg(F.count(F.lit(1)).alias("item"))
+    combinations = df.groupBy(*[col(c).alias(i) for c, i in _places(identifiers).items()]).agg(F.count(F.lit(1)).alias("item"))
     held = _identifier_rows(combinations, identifiers).groupBy("kind", "values").agg(F.count(F.lit(1)).alias("n_items"), F.sum("item").alias("n_rows"))
     return held.where(F.col("n_items") > most_items).select(_text(F.col("kind"), F.col("values"), identifiers).alias("identifier"), "n_items", "n_rows")
 
@@ -95,8 +95,8 @@ def resolve(
     """
     if identity in df.columns:
         raise ValueError(f"column {identity!r} already exists")
-    columns = _columns(identifiers)
-    distinct = df.select(*[col(c) for c in columns]).distinct().withColumn("item", F.monotonically_increasing_id())
+    place = _places(identifiers)
+    distinct = df.select(*[col(c).alias(i) for c, i in place.items()]).distinct().withColumn("item", F.monotonically_increasing_id())
     combinations = cut_lineage(distinct, "combinations")
     held = attach_groups(
         _identifier_rows(combinations, identifiers), ["kind", "values"], {"first": F.min("item"), "n_items": F.count(F.lit(1))}, hot_rows=hot_rows
@@ -112,4 +112,4 @@ def resolve(
     told = left_join(of_item, named, "component", right_unique=True, hot_rows=hot_rows)
     told = told.select("item", _text(F.col("name.kind"), F.col("name.values"), identifiers).alias(identity))
     known = left_join(combinations, told, "item", right_unique=True, hot_rows=hot_rows).drop("item")
-    return left_join(df, known, columns, right_unique=True, hot_rows=hot_rows)
+    return left_join(df, known, list(place.items()), right_unique=True, hot_rows=hot_rows)

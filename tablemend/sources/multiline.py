@@ -65,6 +65,8 @@ def _running(df: DataFrame, window: Window, settled: str, turns: str) -> tuple[C
 
 def records(spark: SparkSession, paths: Sequence[str], sep: str = ",", quote: str = '"', trim: bool = False, header: bool = False, most_lines: int = LINES) -> DataFrame:
     """path and value of every record that is not empty, without the line break behind it and, with ``header``, without the first of each file."""
+    if not quote:
+        raise ValueError("without quotes no record has line breaks; read plain lines")
     in_range = Window.partitionBy("path", "range").orderBy("line")
     so_far = in_range.rowsBetween(Window.unboundedPreceding, 0)
     lines = _lines(spark, paths, sep, quote, trim)

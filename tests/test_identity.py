@@ -75,6 +75,8 @@ def test_a_name_for_each_identity(spark):
     out = rows(standardise_names(df, ["x", "y"], linked=True), "Study", "Antigen", "Antigen_std")
     assert out == sorted([("s", "CD3", "CD3e"), ("s", "CD3e", "CD3e"), ("t", "CD3e", "CD3e"), ("t", "other", "other"), ("s", "CD3e", "CD3e"), ("t", "alone", None)], key=repr)
     assert standardise_names(df, ["x", "y"], linked=True).columns == [*df.columns, "Antigen_std"]
+    clashing = df.toDF("item", "kind", "values", "node")
+    assert [r[0] for r in rows(identity.resolve(clashing, ["values", "node"]).select("identity"))] == [r[0] for r in rows(identity.resolve(df, ["x", "y"]).select(F.regexp_replace(F.regexp_replace("identity", "^x", "values"), "^y", "node")))]
     with pytest.raises(ValueError, match="exists"):
         identity.resolve(df, ["x"], "Study")
 
