@@ -34,8 +34,8 @@ from tablemend.llm.common import ints, regrouped, stored
 LENGTH = 1024
 END_ID = 2
 LANE_ROWS = 100_000
-#: Chunks that a worker remembers (some 200 MB); beyond it, the older half goes.
-CACHED = 1_000_000
+#: Chunks that a worker remembers (some 100 MB); beyond it, the older half goes.
+CACHED = 500_000
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: A space before white space or the end, where a text is not cut.
 _LOOSE = re.compile(r" (?:[\s\x1c-\x1f]|\Z)")
