@@ -17,12 +17,13 @@ from __future__ import annotations
 
 import os
 import re
+import string
 import struct
 import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
-from itertools import islice
+from itertools import islice, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -36,10 +37,12 @@ END_ID = 2
 LANE_ROWS = 100_000
 #: Chunks that a worker remembers (some 100 MB); beyond it, the older half goes.
 CACHED = 500_000
+#: New chunks encoded as one text; a text of its own for each costs several times as much.
+JOINED = 256
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: A space before white space or the end, where a text is not cut.
 _LOOSE = re.compile(r" (?:[\s\x1c-\x1f]|\Z)")
-_MARKS = ".,;:!?"
+_MARKS = string.punctuation
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -67,7 +70,8 @@ class Encoder:
 
     The byte-level tokenizer never joins a space before other than white space with what stands before it, so the ids of
     a text are those of its chunks, one after the other; a space before white space or the end stays within its
-    chunk. Texts with the file's special tokens are encoded whole.
+    chunk. New chunks are therefore encoded joined into texts, and the ids cut where a token starts with a space. Texts
+    with the file's special tokens are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -76,8 +80,12 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # Joined chunks must not spell a special token that none of their texts has.
+        self.joined = 1 if any(" " in s for s in self.special) else JOINED
+        vocab = self.tokenizer.get_vocab()
+        self.spaced = np.zeros(max(vocab.values()) + 1, bool)
+        self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
-        self.marks = dict(zip(_MARKS, self.encode(list(_MARKS)), strict=True))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         found = []
@@ -85,20 +93,33 @@ class Encoder:
             found += [packed_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
         return found
 
+    def encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of each chunk, a space before it; one that holds a space of its own is encoded alone."""
+        loose = [c for c in chunks if " " in c]
+        tight = [c for c in chunks if " " not in c] if loose else chunks
+        found = dict(zip(loose, self.encode([" " + c for c in loose]), strict=True))
+        for at in range(0, len(tight), self.joined):
+            some = tight[at : at + self.joined]
+            ids = self.encode([" " + " ".join(some)])[0]
+            starts = np.flatnonzero(self.spaced[np.frombuffer(ids, "<u4")]) * 4
+            found.update(zip(some, (ids[a:b] for a, b in pairwise([*starts.tolist(), len(ids)])), strict=True))
+        return found
+
     def __call__(self, texts: list[str]) -> Iterator[bytes]:
         """The ids of each text."""
         cut = [None if any(s in t for s in self.special) else chunks_of(t) for t in texts]
         wanted = set().union(*(c[1:] for c in cut if c))
-        missing = [c for c in wanted if c not in self.known]
+        missing = wanted.difference(self.known)
         if len(self.known) + len(missing) > CACHED:
             self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
-            missing = [c for c in wanted if c not in self.known]
-        # A mark after a letter or digit is a token piece of its own, so the word before it is all that must be encoded.
-        marked = {c for c in missing if c[-1:] in _MARKS and c[-2:-1].isalnum()}
-        new = [c for c in {c[:-1] if c in marked else c for c in missing} if c not in self.known]
-        self.known.update(zip(new, self.encode([" " + c for c in new]), strict=True))
-        for c in marked:
-            self.known[c] = self.known[c[:-1]] + self.marks[c[-1]]
+            missing = wanted.difference(self.known)
+        # Marks after a letter or digit are a token piece of their own, so the word before them is all that must be encoded.
+        marked = {c: word for c in missing if c[-1] in _MARKS and (word := c.rstrip(_MARKS))[-1:].isalnum()}
+        self.known.update(self.encode_chunks(list({marked.get(c, c) for c in missing}.difference(self.known))))
+        ends = list({c[len(word) :] for c, word in marked.items()})
+        marks = dict(zip(ends, self.encode(ends), strict=True))
+        for c, word in marked.items():
+            self.known[c] = self.known[word] + marks[c[len(word) :]]
         first = iter(self.encode([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
         for c in cut:
             yield next(first) if c is None else next(first) + b"".join(map(self.known.__getitem__, c[1:]))

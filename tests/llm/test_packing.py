@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import random
 import zlib
 from collections import defaultdict
@@ -49,6 +50,34 @@ def test_cache_overflow(monkeypatch):
         assert np.frombuffer(next(encode([text])), "<u4").tolist() == ids_of(tokenizer, text)
 
 
+def test_new_chunks_joined(monkeypatch):
+    tokenizer, encode, given_texts = Tokenizer.from_file(PATH), packing.Encoder(PATH), []
+    plain = encode.encode
+    monkeypatch.setattr(encode, "encode", lambda texts: given_texts.extend(texts) or plain(texts))
+    words = [f"w{k}é{k % 7}" for k in range(3000)]
+    texts = [" ".join([*words, "w1é1,", "w2é2$$$", "w3é3.%%%", "it's'", "a.\nB", "x\n\ny***", "$$$", "'s", "_", "日本!?", "½##", "a  b", "c \n d", "end\n"])]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(tokenizer, t) for t in texts]
+    assert len(given_texts) < 50
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab1½é日'st_.,$%\n\t\x85\u00a0\u3000\u200b   "), max_size=40), max_size=6))
+def test_marks_and_white_space(texts):
+    encode = packing.encoder(PATH)
+    encode.known.clear()
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(encode.tokenizer, t) for t in texts]
+
+
+def test_special_with_space(tmp_path):
+    file = json.loads(open(PATH, encoding="utf-8").read())
+    file["added_tokens"].append(file["added_tokens"][0] | {"id": 50257, "content": "<|a b|>"})
+    path = str(tmp_path / "tokenizer.json")
+    with open(path, "w", encoding="utf-8") as out:
+        json.dump(file, out)
+    tokenizer, texts = Tokenizer.from_file(path), ["x <|a", "x b|>", "x <|a b|> y"] + [f"x <|a b{k}|> b|>" for k in range(20)]
+    assert [np.frombuffer(b, "<u4").tolist() for b in packing.Encoder(path)(texts)] == [ids_of(tokenizer, t) for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.dictionaries(st.integers(1, 64), st.integers(1, 40), max_size=30))
 def test_best_fit(counts):
