@@ -24,6 +24,7 @@ from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
 from itertools import islice, pairwise
+from typing import TYPE_CHECKING
 
 import numpy as np
 import pyarrow as pa
@@ -32,6 +33,9 @@ from pyspark.sql import functions as F
 
 from tablemend.llm.common import ints, regrouped, stored
 
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
+
 LENGTH = 1024
 END_ID = 2
 LANE_ROWS = 100_000
@@ -76,33 +80,39 @@ class Encoder:
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Joined chunks must not spell a special token that none of their texts has.
         self.joined = 1 if any(" " in s for s in self.special) else JOINED
+        # A word of ASCII letters is one token piece, and the vocabulary writes it as it is: no pattern or byte table is needed.
+        self.letters = Tokenizer(self.tokenizer.model)
+        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+        self.byte_level = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[bytes]:
         found = []
         for at in range(0, len(texts), 4096):
-            found += [packed_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
+            found += [packed_ids(e.ids) for e in (tokenizer or self.tokenizer).encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
         return found
 
     def encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
         """The ids of each chunk, a space before it; one that holds a space of its own is encoded alone."""
-        loose = [c for c in chunks if " " in c]
-        tight = [c for c in chunks if " " not in c] if loose else chunks
+        loose, letters, other = [], [], []
+        for c in chunks:
+            (letters if self.byte_level and c.isascii() and c.isalpha() else loose if " " in c else other).append(c)
         found = dict(zip(loose, self.encode([" " + c for c in loose]), strict=True))
-        for at in range(0, len(tight), self.joined):
-            some = tight[at : at + self.joined]
-            ids = self.encode([" " + " ".join(some)])[0]
-            starts = np.flatnonzero(self.spaced[np.frombuffer(ids, "<u4")]) * 4
-            found.update(zip(some, (ids[a:b] for a, b in pairwise([*starts.tolist(), len(ids)])), strict=True))
+        for tokenizer, tight, space in ((self.letters, letters, " \u0120"), (self.tokenizer, other, " ")):
+            for at in range(0, len(tight), self.joined):
+                some = tight[at : at + self.joined]
+                ids = self.encode([space + space.join(some)], tokenizer)[0]
+                starts = np.flatnonzero(self.spaced[np.frombuffer(ids, "<u4")]) * 4
+                found.update(zip(some, (ids[a:b] for a, b in pairwise([*starts.tolist(), len(ids)])), strict=True))
         return found
 
     def __call__(self, texts: list[str]) -> Iterator[bytes]:

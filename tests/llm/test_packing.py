@@ -53,8 +53,8 @@ def test_cache_overflow(monkeypatch):
 def test_new_chunks_joined(monkeypatch):
     tokenizer, encode, given_texts = Tokenizer.from_file(PATH), packing.Encoder(PATH), []
     plain = encode.encode
-    monkeypatch.setattr(encode, "encode", lambda texts: given_texts.extend(texts) or plain(texts))
-    words = [f"w{k}é{k % 7}" for k in range(3000)]
+    monkeypatch.setattr(encode, "encode", lambda texts, *more: given_texts.extend(texts) or plain(texts, *more))
+    words = [f"w{k}é{k % 7}" for k in range(3000)] + [a + b + c for a in "abcXYZ" for b in ["tion", "QZ", "e"] for c in ["", "st", "Oo"]]
     texts = [" ".join([*words, "w1é1,", "w2é2$$$", "w3é3.%%%", "it's'", "a.\nB", "x\n\ny***", "$$$", "'s", "_", "日本!?", "½##", "a  b", "c \n d", "end\n"])]
     assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(tokenizer, t) for t in texts]
     assert len(given_texts) < 50
