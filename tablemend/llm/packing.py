@@ -23,30 +23,34 @@ import zlib
 from bisect import bisect_left, insort
 from collections import defaultdict, deque
 from collections.abc import Iterator
-from itertools import islice, pairwise
-from typing import TYPE_CHECKING
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablemend.llm.common import ints, regrouped, stored
 
-if TYPE_CHECKING:
-    from tokenizers import Tokenizer
-
 LENGTH = 1024
 END_ID = 2
 LANE_ROWS = 100_000
-#: Chunks that a worker remembers (some 100 MB); beyond it, the older half goes.
-CACHED = 500_000
+#: Texts that a worker remembers (some 60 MB); beyond it, those not met for longest go.
+CACHED = 300_000
 #: New chunks encoded as one text; a text of its own for each costs several times as much.
 JOINED = 256
+#: Text cut and counted at once: the more, the fewer chunks are looked up.
+BATCH_BYTES = 16 << 20
 _PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: A space before white space or the end, where a text is not cut.
 _LOOSE = re.compile(r" (?:[\s\x1c-\x1f]|\Z)")
-_MARKS = string.punctuation
+_LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ɏ"
+#: Marks of ASCII, Latin-1 and general punctuation.
+_STARTS = " " + string.ascii_letters
+_MARKS = re.escape(string.punctuation) + "¡-©«-±´¶-¸»¿×÷‐-‧"
+#: The byte-level tokenizer's pattern for texts of these letters and marks, ASCII digits, spaces and line feeds.
+_PIECE = re.compile(rf" ?[{_LETTERS}]+|'(?:s|t|re|ve|m|ll|d)| ?[0-9]+| ?[{_MARKS}]+|[ \n]+(?![^ \n])|[ \n]+")
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -69,12 +73,42 @@ def chunks_of(text: str) -> list[str]:
     return chunks
 
 
+def byte_letters() -> np.ndarray:
+    """The code point with which byte-level vocabularies write each byte; byte 0, which no piece holds, stays as it is."""
+    points = np.arange(256, dtype="<u2")
+    written = [n for n in range(256) if 33 <= n <= 126 or 161 <= n <= 172 or n >= 174]
+    unwritten = np.setdiff1d(points, written)
+    points[unwritten] = 256 + np.arange(len(unwritten))
+    points[0] = 0
+    return points
+
+
+def numbered(lists: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct chunks, a space before each; the chunks of all lists as their numbers; and where each list starts."""
+    found = lists.flatten().dictionary_encode()
+    return [" " + c for c in found.dictionary.to_numpy(zero_copy_only=False).tolist()], found.indices.to_numpy(), lists.offsets.to_numpy()
+
+
+def numbered_chunks(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The chunks of the texts, cut as `chunks_of` does, numbered."""
+    lists = pc.split_pattern(texts, " ")
+    chunks, codes, starts = numbered(lists)
+    loose = np.array([c == " " or c[1].isspace() for c in chunks])[codes]
+    loose[starts[:-1]] = False
+    if loose.any():
+        loose = np.logical_or.reduceat(loose, starts[:-1])
+        tight = pa.array([chunks_of(t.as_py()) if x else [] for t, x in zip(texts, loose.tolist(), strict=True)], lists.type)
+        return numbered(pc.if_else(pa.array(loose), tight, lists))
+    return chunks, codes, starts
+
+
 class Encoder:
-    """Token ids as little-endian bytes; a chunk (a space and what follows up to the next) is encoded once per worker.
+    """Token ids as little-endian bytes; a chunk (a space and what follows up to the next) is looked up once per batch.
 
     The byte-level tokenizer never joins a space before other than white space with what stands before it, so the ids of
     a text are those of its chunks, one after the other; a space before white space or the end stays within its
-    chunk. New chunks are therefore encoded joined into texts, and the ids cut where a token starts with a space. Texts
+    chunk. A new chunk of common letters and marks is cut by the tokenizer's own pattern, and the file's model encodes
+    each new piece. Other chunks are encoded joined into texts, and the ids cut where a token starts with a space. Texts
     with the file's special tokens are encoded whole.
     """
 
@@ -86,53 +120,92 @@ class Encoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         # Joined chunks must not spell a special token that none of their texts has.
         self.joined = 1 if any(" " in s for s in self.special) else JOINED
-        # A word of ASCII letters is one token piece, and the vocabulary writes it as it is: no pattern or byte table is needed.
-        self.letters = Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
-        self.byte_level = self.tokenizer.normalizer is None and isinstance(self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel)
+        cut = self.tokenizer.pre_tokenizer
+        self.byte_level = self.tokenizer.normalizer is None and isinstance(cut, pre_tokenizers.ByteLevel) and cut.use_regex and not cut.add_prefix_space
+        self.model, self.byte_letters = self.tokenizer.model, byte_letters()
         vocab = self.tokenizer.get_vocab()
         self.spaced = np.zeros(max(vocab.values()) + 1, bool)
         self.spaced[[i for t, i in vocab.items() if t.startswith("\u0120")]] = True
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str], tokenizer: Tokenizer | None = None) -> list[bytes]:
+    def encode(self, texts: list[str]) -> list[bytes]:
         found = []
         for at in range(0, len(texts), 4096):
-            found += [packed_ids(e.ids) for e in (tokenizer or self.tokenizer).encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
+            found += [packed_ids(e.ids) for e in self.tokenizer.encode_batch_fast(texts[at : at + 4096], add_special_tokens=False)]
         return found
 
-    def encode_chunks(self, chunks: list[str]) -> dict[str, bytes]:
-        """The ids of each chunk, a space before it; one that holds a space of its own is encoded alone."""
-        loose, letters, other = [], [], []
-        for c in chunks:
-            (letters if self.byte_level and c.isascii() and c.isalpha() else loose if " " in c else other).append(c)
-        found = dict(zip(loose, self.encode([" " + c for c in loose]), strict=True))
-        for tokenizer, tight, space in ((self.letters, letters, " \u0120"), (self.tokenizer, other, " ")):
-            for at in range(0, len(tight), self.joined):
-                some = tight[at : at + self.joined]
-                ids = self.encode([space + space.join(some)], tokenizer)[0]
-                starts = np.flatnonzero(self.spaced[np.frombuffer(ids, "<u4")]) * 4
-                found.update(zip(some, (ids[a:b] for a, b in pairwise([*starts.tolist(), len(ids)])), strict=True))
+    def encode_pieces(self, pieces: list[str]) -> dict[str, bytes]:
+        """The ids of pieces that the pattern does not cut, from the model alone."""
+        if not pieces:
+            return {}
+        written = self.byte_letters[np.frombuffer("\0".join(pieces).encode(), np.uint8)].tobytes().decode("utf-16-le").split("\0")
+        tokenize, ids, ends = self.model.tokenize, [], [0]
+        for piece in written:
+            ids += [t.id for t in tokenize(piece)]
+            ends.append(4 * len(ids))
+        packed = np.array(ids, "<u4").tobytes()
+        return {p: packed[a:b] for p, (a, b) in zip(pieces, pairwise(ends), strict=True)}
+
+    def encode_joined(self, chunks: list[str]) -> dict[str, bytes]:
+        """The ids of chunks that start with a space and hold no other."""
+        found = {}
+        for at in range(0, len(chunks), self.joined):
+            some = chunks[at : at + self.joined]
+            ids = self.encode(["".join(some)])[0]
+            starts = np.flatnonzero(self.spaced[np.frombuffer(ids, "<u4")]) * 4
+            found.update(zip(some, (ids[a:b] for a, b in pairwise([*starts.tolist(), len(ids)])), strict=True))
         return found
 
-    def __call__(self, texts: list[str]) -> Iterator[bytes]:
+    def recalled(self, texts: list[str]) -> list[str]:
+        """Those of the texts that are not remembered; the others are remembered anew."""
+        missing = [t for t, ids in zip(texts, map(self.known.get, texts), strict=True) if ids is None]
+        again = {t: ids for t, ids in zip(missing, map(self.older.get, missing), strict=True) if ids is not None}
+        self.known.update(again)
+        return [t for t in missing if t not in again] if again else missing
+
+    def learn(self, texts: list[str]) -> None:
+        """Remember the ids of these texts without special tokens."""
+        missing = self.recalled(texts)
+        for at in range(0, len(missing), 1 << 16):
+            words, cut, tight, other = [], [], [], []
+            for t in missing[at : at + (1 << 16)]:
+                if self.byte_level and t.isascii() and t[1:].isalpha() and t[0] in _STARTS:
+                    words.append(t)
+                elif self.byte_level and t and len("".join(pieces := _PIECE.findall(t))) == len(t):
+                    cut.append((t, pieces))
+                else:
+                    (tight if t.rfind(" ") == 0 else other).append(t)
+            self.known.update(self.encode_pieces(self.recalled(list(set(words).union(*(pieces for _, pieces in cut))))))
+            self.known.update([(t, b"".join([self.known[p] for p in pieces])) for t, pieces in cut if len(pieces) > 1])
+            self.known.update(self.encode_joined(tight))
+            self.known.update(zip(other, self.encode(other), strict=True))
+
+    def __call__(self, texts: list[str] | pa.Array) -> Iterator[bytes]:
         """The ids of each text."""
-        cut = [None if any(s in t for s in self.special) else chunks_of(t) for t in texts]
-        wanted = set().union(*(c[1:] for c in cut if c))
-        missing = wanted.difference(self.known)
-        if len(self.known) + len(missing) > CACHED:
-            self.known = dict(islice(self.known.items(), len(self.known) // 2, None))
-            missing = wanted.difference(self.known)
-        # Marks after a letter or digit are a token piece of their own, so the word before them is all that must be encoded.
-        marked = {c: word for c in missing if c[-1] in _MARKS and (word := c.rstrip(_MARKS))[-1:].isalnum()}
-        self.known.update(self.encode_chunks(list({marked.get(c, c) for c in missing}.difference(self.known))))
-        ends = list({c[len(word) :] for c, word in marked.items()})
-        marks = dict(zip(ends, self.encode(ends), strict=True))
-        for c, word in marked.items():
-            self.known[c] = self.known[word] + marks[c[len(word) :]]
-        first = iter(self.encode([t if c is None else c[0] for t, c in zip(texts, cut, strict=True)]))
-        for c in cut:
-            yield next(first) if c is None else next(first) + b"".join(map(self.known.__getitem__, c[1:]))
+        texts = texts if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        if not len(texts):
+            return
+        if len(self.known) > CACHED // 2:
+            self.known, self.older = {}, self.known
+        special = np.zeros(len(texts), bool)
+        for s in self.special:
+            special |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        whole = iter(self.encode(texts.filter(pa.array(special)).to_pylist()))
+        if special.any():
+            texts = pc.if_else(pa.array(special), "", texts)
+        chunks, codes, starts = numbered_chunks(texts)
+        # The first chunk of a text has no space before it; its place among the others holds nothing.
+        first = [chunks[k][1:] for k in codes[starts[:-1]].tolist()]
+        codes = codes.copy()
+        codes[starts[:-1]] = len(chunks)
+        self.learn(chunks)
+        self.learn(list(set(first)))
+        ids = pa.array([*map(self.known.__getitem__, chunks), b""], pa.large_binary()).take(pa.array(codes))
+        ends = np.frombuffer(ids.buffers()[1], np.int64)[starts].tolist()
+        joined = memoryview(ids.buffers()[2] or b"")
+        for c, (a, b), x in zip(first, pairwise(ends), special.tolist(), strict=True):
+            yield next(whole) if x else self.known[c] + joined[a:b]
 
 
 def encoder(path: str) -> Encoder:
@@ -153,9 +226,9 @@ def token_pieces(documents: DataFrame, path: str, length: int = LENGTH, end_id:
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, end = encoder(path), np.array([end_id], "<u4").tobytes()
-        for batch in regrouped(batches, "text", 4 << 20):
+        for batch in regrouped(batches, "text", BATCH_BYTES):
             out = defaultdict(list)
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode([t or "" for t in batch.column(1).to_pylist()]), strict=True):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(pc.fill_null(batch.column(1), "")), strict=True):
                 ids = memoryview(ids + end)
                 for k, (s, n) in enumerate(cuts(len(ids) // 4, length)):
                     part = ids[4 * s : 4 * (s + n)]

@@ -68,6 +68,24 @@ def test_marks_and_white_space(texts):
     assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(encode.tokenizer, t) for t in texts]
 
 
+def test_pieces_encoded_once(monkeypatch):
+    tokenizer, encode, pieces = Tokenizer.from_file(PATH), packing.Encoder(PATH), []
+    plain = encode.encode_pieces
+    monkeypatch.setattr(encode, "encode_pieces", lambda some: pieces.extend(some) or plain(some))
+    words = ["qou" + a + b for a in "abcdeé" for b in ["tion", "zß", "ñe", "x", "Ÿ"]]
+    texts = [" ".join(f"{a}{mark}{b.capitalize()}" for b in words) for a in words for mark in [".\n", ",", "“", "'s"]]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(tokenizer, t) for t in texts]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts[::-1])] == [ids_of(tokenizer, t) for t in texts[::-1]]
+    # 3,600 chunks are made of each word with and without a space, what follows it, and the marks.
+    assert len(pieces) == len(set(pieces)) < 6 * len(words)
+
+
+def test_pattern_classes():
+    tokenizer, encode = Tokenizer.from_file(PATH), packing.Encoder(PATH)
+    texts = [f"a{c}b {c} 1{c}2 .{c}- {c}{c}\n{c}'s x{c}'ll  {c}\n\n {c}" for c in map(chr, [*range(1, 0x260), *range(0x2000, 0x2030)])]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encode(texts)] == [ids_of(tokenizer, t) for t in texts]
+
+
 def test_special_with_space(tmp_path):
     file = json.loads(open(PATH, encoding="utf-8").read())
     file["added_tokens"].append(file["added_tokens"][0] | {"id": 50257, "content": "<|a b|>"})
